@@ -186,3 +186,28 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrival = start_time(F.col("run_date"), F.col("run_slot")) + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), (F.col("rid") % 3600).cast("decimal(18,6)"))
     return product_items(p.withColumn("created_at", arrival), ITEM_KEYS)
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed pages as landed JSON text. The item list hides under one of three keys;
+    cursor and next-page flag sit at the top level or in ``pageInfo``."""
+    rows = items(spark, sf_dir).groupBy("run_id", "run_date", "batch_id").agg(
+        F.sort_array(F.collect_list(F.struct("item_pos", "raw"))).alias("rows"))
+    events = table(spark, sf_dir, "batch_events").select("run_id", "batch_id", "source_page_seq", "cursor_in",
+                                                         "cursor_out")
+    b = F.col("batch_id")
+    key = F.when(b % 3 == 0, "items").when(b % 3 == 1, "data").otherwise("products")
+    listed = F.array_join(F.transform("rows", lambda r: r["raw"]), ",")
+    flag = F.when(b % 5 == 0, ',"hasNextPage":false').otherwise("")
+    nested_flag = F.when(b % 5 == 1, '"hasNextPage":true').otherwise("")
+    cursor = F.coalesce(F.concat(F.lit('"nextCursor":"'), F.col("cursor_out"), F.lit('"')), F.lit('"nextCursor":null'))
+    top = F.when(b % 2 == 0, F.concat(F.lit(","), cursor)).otherwise("")
+    info = F.concat_ws(",", F.when(b % 2 == 1, cursor), F.nullif(nested_flag, F.lit("")))
+    payload = F.concat(F.lit('{"'), key, F.lit('":['), listed, F.lit("]"), top, flag,
+                       F.lit(',"pageInfo":{'), info, F.lit("}}"))
+    head = F.to_json(F.struct(
+        F.col("run_id").alias("runId"), b.alias("batchId"), F.col("run_date").cast("string").alias("fromDate"),
+        F.col("source_page_seq").alias("sourcePageSeq"), F.col("cursor_in").alias("cursorIn")))
+    page = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"payload":'), payload, F.lit("}"))
+    return rows.join(events, ["run_id", "batch_id"]).select("run_id", "run_date", "batch_id", "source_page_seq",
+                                                            page.alias("value"))
