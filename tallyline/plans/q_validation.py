@@ -194,7 +194,7 @@ def feed_distinct_by_page(spark, sf_dir):
 
 
 @register("quarantine", query("""
-SELECT count(*) AS bad_lines, sum(length(doc)) AS bad_chars FROM (SELECT description||' {'||gtin AS doc FROM products
+SELECT count(*) AS bad_lines, CAST(sum(length(doc)) AS BIGINT) AS bad_chars FROM (SELECT description||' {'||gtin AS doc FROM products
 WHERE rid%97=0)""", "products"))
 def quarantine(spark, sf_dir):
     # Every 97th line of the landed items is damaged on the way.
