@@ -6,7 +6,7 @@ types, text compares the same everywhere.
 
 from pyspark.sql import types as T
 
-from tallyline.plans import q_publish, q_tables, q_validation  # noqa: F401 - they register their queries
+from tallyline.plans import q_publish, q_streaming, q_tables, q_validation  # noqa: F401 - they register queries
 from tallyline.plans.registry import ORACLE as _ORACLE
 from tallyline.plans.registry import QUERIES as _QUERIES
 
