@@ -73,15 +73,17 @@ TRUTH_OF = [
 ]
 
 
-def _text_schema() -> T.StructType:
-    """Schema with a string at the end of every path, and a list for ``mrp``."""
-    tree: dict = {}
-    for key, path in {**EXACT_PATHS, **PRESENCE_PATHS}.values():
-        if path == "$":
-            tree.setdefault(key, None)
-            continue
-        node = tree.setdefault(key, {})
+def text_schema(paths: list[tuple[str, str]], keys: list[str] = ()) -> T.StructType:
+    """Schema that reads the value at every ``(key, path)`` as a string; a path
+    through ``[0]`` makes its key a list. ``keys`` are read as well."""
+    tree: dict = {key: None for key in keys}
+    lists = {key for key, path in paths if path.startswith("$[0]")}
+    for key, path in paths:
         steps = _steps(path)
+        if not steps:
+            tree[key] = None
+            continue
+        node = tree[key] = tree.get(key) or {}
         for step in steps[:-1]:
             node = node.setdefault(step, {})
         node[steps[-1]] = None
@@ -91,11 +93,7 @@ def _text_schema() -> T.StructType:
             return T.StringType()
         return T.StructType([T.StructField(k, build(v)) for k, v in node.items()])
 
-    fields = []
-    for key in RECORD_KEYS:
-        kind = build(tree.get(key))
-        fields.append(T.StructField(key, T.ArrayType(kind) if key == "mrp" else kind))
-    return T.StructType(fields)
+    return T.StructType([T.StructField(k, T.ArrayType(build(v)) if k in lists else build(v)) for k, v in tree.items()])
 
 
 def _steps(path: str) -> list[str]:
@@ -106,7 +104,7 @@ def _steps(path: str) -> list[str]:
     return names + ([quoted.removesuffix("']")] if quoted else [])
 
 
-def _leaf(record: Column, key: str, path: str) -> Column:
+def leaf(record: Column, key: str, path: str) -> Column:
     value = record[key]
     if path.startswith("$[0]"):
         value = F.get(value, F.lit(0))
@@ -115,13 +113,18 @@ def _leaf(record: Column, key: str, path: str) -> Column:
     return value
 
 
-TEXT_SCHEMA = _text_schema()
+TEXT_SCHEMA = text_schema([*EXACT_PATHS.values(), *PRESENCE_PATHS.values()], RECORD_KEYS)
 
 # A number, optional space, then unit text. Backtracking is part of the meaning:
 # "800" splits into 80 and 0, "5" does not split.
 NET_CONTENT_PATTERN = rf"^([\d.]+){js.WS_CLASS}*([^\n\r\x{{2028}}\x{{2029}}]+)\z"
 
 
+def typed_value(raw: Column, key: str) -> Column:
+    """One top-level value with its JSON type, read from the text again."""
+    return F.from_json(raw, T.StructType([T.StructField(key, T.VariantType())]))[key]
+
+
 def read_fields(items: DataFrame, keep: list[str], raw: str = "raw") -> DataFrame:
     """Next to ``keep``: ``t_<name>`` texts, ``b_<name>`` truth flags, shape flags
     and exemptions of each record."""
@@ -130,18 +133,18 @@ def read_fields(items: DataFrame, keep: list[str], raw: str = "raw") -> DataFram
     rec = F.col("_rec")
 
     def exact(key: str) -> Column:
-        return F.from_json(F.col(raw), T.StructType([T.StructField(key, T.VariantType())]))[key]
+        return typed_value(F.col(raw), key)
 
     def at(name: str) -> tuple:
         k, p = paths[name]
-        return exact(k), p, _leaf(rec, k, p)
+        return exact(k), p, leaf(rec, k, p)
 
     texts = {f"t_{n}": js.js_string(*at(n)) for n in EXACT_PATHS}
     texts |= {f"t_{n}": js.js_text(*at(n)) for n in PRESENCE_PATHS}
     truths = {f"b_{n}": js.js_truthy(*at(n)) for n in TRUTH_OF}
     # The licence chain stops at the first value that is not null, blank or not.
     licence = F.coalesce(*[texts.pop(f"t_{n}") for n in ("licence", "licence_2", "licence_3", "licence_4")])
-    mrp_text = _leaf(rec, *paths["mrp"])
+    mrp_text = leaf(rec, *paths["mrp"])
 
     def object_or_absent(key: str) -> Column:
         return rec[key].isNotNull() | exact(key).isNull() | js.is_object(exact(key))
