@@ -194,11 +194,10 @@ def feed_distinct_by_page(spark, sf_dir):
 
 
 @register("quarantine", query("""
-SELECT count(*) AS bad_lines, CAST(sum(length(doc)) AS BIGINT) AS bad_chars FROM (SELECT description||' {'||gtin AS doc FROM products
-WHERE rid%97=0)""", "products"))
+SELECT count(*) AS bad_lines, CAST(sum(length(doc)) AS BIGINT) AS bad_chars FROM (SELECT description||' {'||gtin AS doc FROM products)""", "products"))
 def quarantine(spark, sf_dir):
-    # Every 97th line of the landed items is damaged on the way.
-    damaged = fixtures.table(spark, sf_dir, "products").filter("rid % 97 = 0").select(
+    # Every item arrives once whole and once as a damaged line.
+    damaged = fixtures.table(spark, sf_dir, "products").select(
         F.concat("description", F.lit(" {"), "gtin").alias("value"))
     lines = fixtures.items(spark, sf_dir).select(F.col("raw").alias("value")).unionByName(damaged)
     return feed.quarantine(lines).agg(F.count("*").alias("bad_lines"), F.sum(F.length("raw")).alias("bad_chars"))

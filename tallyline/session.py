@@ -23,6 +23,10 @@ SQL_SETTINGS = {
 }
 
 
+# Scratch folders of local sessions that came without spark.checkpoint.dir.
+_local_roots: dict[str, str] = {}
+
+
 def get_session(app: str = "tallyline", master: str | None = None, **settings: str) -> SparkSession:
     """Build (or fetch) a session. On a cluster leave ``master`` unset and pass
     ``spark.checkpoint.dir`` with the deployment's other settings."""
@@ -50,11 +54,13 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app in _local_roots:
+        return _local_roots[app]
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tallyline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    _local_roots[app] = tempfile.mkdtemp(prefix="tallyline-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
