@@ -1,10 +1,11 @@
 """The registered query of each operator, and its SQL where SQL can express it."""
 
-from tallyline.llm import mixing, sharding
+from tallyline.llm import mixing, quality, sharding
 
 QUERIES = {
     "op4_mix_sources": mixing.query,
     "op6_shard_rows": sharding.query,
+    "op9_quality_rules": quality.query,
 }
 ORACLE = {
     "op4_mix_sources": mixing.SQL,
