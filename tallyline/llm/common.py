@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Null ids take part in comparisons as the smallest id.
 NULL_ID = -(2**63)
 
-__all__ = ["NULL_ID", "SPACES", "WORD", "components_in_task", "fresh", "hash01", "materialize", "partitions", "scratch_path",
+__all__ = ["NULL_ID", "SPACES", "WORD", "components_in_task", "fresh", "hash01", "materialize", "partitions", "scratch_path", "prepare",
            "shared_fs", "table"]
 
 
@@ -63,3 +66,13 @@ def hash01(*cols) -> F.Column:
     text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"),
                                          F.lit("null")) for c in cols])
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
+
+
+def prepare(spark: SparkSession, rows: int = 1000) -> None:
+    """Make a session fit for Python tasks: few rows in an Arrow batch, as texts of a batch must fit a worker's memory,
+    long ones too, and the folder of this package on the workers' path, as the driver has it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    root = str(Path(__file__).resolve().parents[2])
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])

@@ -1,12 +1,16 @@
 """The registered query of each operator, and its SQL where SQL can express it."""
 
-from tallyline.llm import mixing, quality, sharding
+from tallyline.llm import bpe, line_dedup, mixing, quality, sharding, token_files
 
 QUERIES = {
+    "op2_drop_repeated_lines": line_dedup.query,
+    "op3_byte_bpe": bpe.query,
     "op4_mix_sources": mixing.query,
+    "op5_token_files": token_files.query,
     "op6_shard_rows": sharding.query,
     "op9_quality_rules": quality.query,
 }
 ORACLE = {
+    "op2_drop_repeated_lines": line_dedup.SQL,
     "op4_mix_sources": mixing.SQL,
 }
