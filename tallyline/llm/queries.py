@@ -1,6 +1,6 @@
 """The registered query of each operator, and its SQL where SQL can express it."""
 
-from tallyline.llm import bpe, line_dedup, mixing, quality, sharding, token_files
+from tallyline.llm import bpe, line_dedup, mixing, quality, sharding, simhash_dedup, token_files, warc
 
 QUERIES = {
     "op2_drop_repeated_lines": line_dedup.query,
@@ -8,9 +8,12 @@ QUERIES = {
     "op4_mix_sources": mixing.query,
     "op5_token_files": token_files.query,
     "op6_shard_rows": sharding.query,
+    "op8_simhash_dedup": simhash_dedup.query,
     "op9_quality_rules": quality.query,
+    "op10_warc": warc.query,
 }
 ORACLE = {
     "op2_drop_repeated_lines": line_dedup.SQL,
     "op4_mix_sources": mixing.SQL,
+    "op10_warc": warc.SQL,
 }
