@@ -1,8 +1,9 @@
 """The registered query of each operator, and its SQL where SQL can express it."""
 
-from tallyline.llm import bpe, line_dedup, mixing, quality, sharding, simhash_dedup, token_files, warc
+from tallyline.llm import bpe, embed_dedup, line_dedup, mixing, quality, sharding, simhash_dedup, token_files, warc
 
 QUERIES = {
+    "op1_embedding_dedup": embed_dedup.query,
     "op2_drop_repeated_lines": line_dedup.query,
     "op3_byte_bpe": bpe.query,
     "op4_mix_sources": mixing.query,
