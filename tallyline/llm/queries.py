@@ -1,6 +1,6 @@
 """The registered query of each operator, and its SQL where SQL can express it."""
 
-from tallyline.llm import bpe, embed_dedup, line_dedup, mixing, quality, sharding, simhash_dedup, token_files, warc
+from tallyline.llm import bpe, embed_dedup, line_dedup, mixing, quality, sharding, simhash_dedup, suffix_dedup, token_files, warc
 
 QUERIES = {
     "op1_embedding_dedup": embed_dedup.query,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_mix_sources": mixing.query,
     "op5_token_files": token_files.query,
     "op6_shard_rows": sharding.query,
+    "op7_remove_repeats": suffix_dedup.query,
     "op8_simhash_dedup": simhash_dedup.query,
     "op9_quality_rules": quality.query,
     "op10_warc": warc.query,
