@@ -32,9 +32,14 @@ def word_array(text: str) -> F.Column:
     return F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
-def grams(w: str) -> F.Column:
-    """Cells of the unigrams, then of the bigrams (BUCKETS higher), of a word array."""
-    words, n = F.col(w), F.size(w)
+def bind(value: F.Column, body) -> F.Column:
+    """``body`` of a value that is computed once, however often the body names it and wherever the optimizer moves it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def grams(words: F.Column) -> F.Column:
+    """Cells of the unigrams, then of the bigrams (BUCKETS higher), of a bound word array."""
+    n = F.size(words)
     one = F.transform(words, lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int"))
     two = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: (
         F.pmod(F.xxhash64(F.element_at(words, i), F.element_at(words, i + 1)), F.lit(BUCKETS)) + BUCKETS).cast("int")))
@@ -52,9 +57,9 @@ def gram_weights(docs: DataFrame, labels: DataFrame) -> list[float]:
     """Log-likelihood ratio of every cell; the raw counts are over all documents. Without a trusted word all are 0."""
     trusted = materialize(trusted_ids(labels).select(F.col("doc_id").alias("trusted")), "trusted")
     counts = (
-        docs.select("doc_id", word_array("text").alias("w"))
+        docs.select("doc_id", bind(word_array("text"), grams).alias("cells"))
         .join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted"), "left")  # at most TRUSTED ids
-        .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode(grams("w")).alias("cell"))
+        .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode("cells").alias("cell"))
         .groupBy("cell").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()  # 2 * BUCKETS rows at most
     )
     raw, target = [0] * (2 * BUCKETS), [0] * (2 * BUCKETS)
@@ -75,11 +80,9 @@ def _constant(numbers: list[float]) -> F.Column:
     return F.split(F.lit(",".join(map(repr, numbers))), ",").cast("array<double>")
 
 
-def _repeated_words(windows: str) -> F.Column:
-    """Words in windows whose hash is found twice or more: sort the hashes, keep the places of equal neighbours, and
-    add up how far each place reaches beyond the one before it."""
-    hashes = F.col(windows)
-
+def _repeated_words(hashes: F.Column) -> F.Column:
+    """Words in windows whose hash is found twice or more: sort the bound hashes, keep the places of equal neighbours,
+    and add up how far each place reaches beyond the one before it."""
     def covered(s):
         def place(x, k):
             same = (F.get(s, k - 1)["h"] == x["h"]), (F.get(s, k + 1)["h"] == x["h"])
@@ -92,9 +95,38 @@ def _repeated_words(windows: str) -> F.Column:
             lambda a: a["n"])
 
     pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    # The one-element array binds the sorted pairs to a name, so that they are made once for a document.
-    slow = F.element_at(F.transform(F.array(pairs), covered), 1)
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(slow)
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(bind(pairs, covered))
+
+
+def judgement(text: str, weights: list[float], threshold: float) -> F.Column:
+    """All of RESULT as one struct."""
+    table_of = _constant(weights)
+    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
+
+    def windows(w):
+        n = F.size(w)
+        found = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(
+            *[F.element_at(w, i + k) for k in range(WINDOW)])))
+        return F.coalesce(found, F.array().cast("array<bigint>"))
+
+    def ratio(g):
+        total = F.aggregate(g, F.lit(0.0), lambda a, c: a + F.element_at(table_of, c + 1))
+        return total / (F.size(g) + PRIOR)
+
+    def of_words(w):
+        return F.struct(F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+                        bind(windows(w), _repeated_words).cast("long").alias("n_repeat_words"), bind(grams(w), ratio).alias("llr"))
+
+    def verdict(f):
+        failed = (f["n_words"] < 10) | (100 * f["n_repeat_words"] > 20 * f["n_words"])
+        return F.struct(
+            f["n_words"].alias("n_words"), f["word_chars"].alias("word_chars"),
+            F.coalesce(F.regexp_count(F.col(text), F.lit(SYMBOLS)), F.lit(0)).cast("long").alias("n_symbols"),
+            bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            f["n_repeat_words"].alias("n_repeat_words"), f["llr"].alias("llr"), failed.alias("base_failed"),
+            (~failed & (f["llr"] >= threshold)).alias("kept"))
+
+    return bind(bind(word_array(text), of_words), verdict)
 
 
 def score(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD) -> DataFrame:
@@ -104,26 +136,9 @@ def score(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD) -
     of its words in repeated windows. Every row is judged by itself, so ties and repeated rows are judged alike.
     """
     base = docs.drop(*RESULT)
-    w, hs = fresh(base, "_words"), fresh(base, "_windows")
-    words, n = F.col(w), F.size(w)
-    base = base.withColumn(w, word_array("text"))
-    windows = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(
-        *[F.element_at(words, i + k) for k in range(WINDOW)])))
-    base = base.withColumn(hs, F.coalesce(windows, F.array().cast("array<bigint>")))
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    cells = F.transform(F.array(grams(w)), lambda g: F.struct(
-        F.size(g).alias("n"), F.aggregate(g, F.lit(0.0), lambda a, c: a + F.element_at(_constant(weights), c + 1)).alias("sum")))[0]
-    out = base.select(
-        *[F.col(f"`{c}`") for c in docs.drop(*RESULT).columns],
-        n.cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-        F.coalesce(F.regexp_count("text", F.lit(SYMBOLS)), F.lit(0)).cast("long").alias("n_symbols"),
-        F.element_at(F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x))), 1).cast("long").alias("n_dup_lines"),
-        _repeated_words(hs).cast("long").alias("n_repeat_words"), cells.alias("_cells"))
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (
-        out.withColumn("llr", F.col("_cells.sum") / (F.col("_cells.n") + PRIOR)).drop("_cells")
-        .withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
-    )
+    all_of = fresh(base, "_judgement")
+    return base.withColumn(all_of, judgement("text", weights, threshold)).select(
+        *[F.col(f"`{c}`") for c in base.columns], f"{all_of}.*")
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
