@@ -19,20 +19,35 @@ _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 
 
 class PieceCache(dict):
-    """Piece without its leading space -> its ids as little-endian 32-bit integers. Holds ``most`` pieces."""
+    """Piece without its leading space -> its ids as little-endian 32-bit integers; a key that starts with a line feed
+    has no space before it. Holds ``most`` pieces and the ``most`` before them, so that frequent ones stay."""
 
-    def __init__(self, encode: Callable[[str], list[int]], most: int = 600_000):
+    def __init__(self, encode: Callable[[str], list[int]], most: int = 500_000):
         super().__init__()
         self.encode, self.most = encode, most
+        self.old: dict[str, bytes] = {}
+        self.marks = {m: self.packed(m) for m in ".,;:!?"}
 
     def packed(self, text: str) -> bytes:
         ids = self.encode(text)
         return pack(f"<{len(ids)}I", *ids)
 
+    def _made(self, piece: str) -> bytes:
+        """Lines of a piece, and a mark behind a letter at its end, are pattern matches of their own."""
+        lines = piece.split("\n")
+        if lines[0] and len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+            return self[lines[0]] + b"".join(self["\n" + x] for x in lines[1:])
+        if len(piece) > 1 and piece[-1] in self.marks and piece[-2].isalpha():
+            return self[piece[:-1]] + self.marks[piece[-1]]
+        return self.packed(piece if piece[:1] == "\n" else " " + piece)
+
     def __missing__(self, piece: str) -> bytes:
-        ids = self.packed(" " + piece)
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self._made(piece)
         if len(piece) < 64:
             if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -56,6 +71,13 @@ def rank_file_cache(path: str, pattern: str) -> PieceCache:
     return PieceCache(encoding.encode_ordinary)
 
 
+def _visible_bytes() -> dict[int, int]:
+    """Byte-level vocabularies write a byte as a visible character: itself if it is one, else the next from code 256."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in visible]
+    return {b: b for b in visible} | {b: 256 + k for k, b in enumerate(others)}
+
+
 @lru_cache(1)
 def json_file_cache(path: str) -> PieceCache:
     import os
@@ -65,4 +87,11 @@ def json_file_cache(path: str) -> PieceCache:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return PieceCache(lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
+    merge, visible = tokenizer.model.tokenize, _visible_bytes()
+
+    def encode(text: str) -> list[int]:
+        if text[1:].isalpha() and text[0] == " ":  # one match of the pattern: only the merges are left to do
+            return [t.id for t in merge(text.encode().decode("latin-1").translate(visible))]
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    return PieceCache(encode)
