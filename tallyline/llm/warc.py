@@ -169,6 +169,8 @@ class WarcReader(DataSourceReader):
         return [Archive(f"{self.path}/{n}") for n in names]
 
     def read(self, partition):
+        if partition is None:  # no archive at all
+            return
         fs, path = shared_fs(partition.file)
         schema = pa.schema([(c, pa.string()) for c in HEADERS] + [("payload_bytes", pa.int64()), ("payload", pa.binary())])
         with fs.open_input_file(path) as f:
