@@ -50,13 +50,31 @@ def _joined(v: Column) -> Column:
     return F.array_join(F.try_variant_get(v, "$", "array<string>"), ",", "")
 
 
+def _double_text(d: Column) -> Column:
+    """The shortest digits that read back as ``d``: plain from 1e-6 to below 1e21, else with an exponent."""
+    shown = F.abs(d).cast("string")
+    exponent = F.coalesce(F.nullif(F.regexp_extract(shown, r"E(-?\d+)\z", 1), F.lit("")).try_cast("int"), F.lit(0))
+    whole, fraction = (F.regexp_extract(shown, r"^(\d+)\.?(\d*)", k) for k in (1, 2))
+    padded = F.concat(whole, fraction)
+    digits = F.regexp_replace(F.regexp_replace(padded, "^0+", ""), r"0+\z", "")
+    # Places before the point, counted from the first digit that is not zero.
+    point = F.length(whole) + exponent - (F.length(padded) - F.length(F.regexp_replace(padded, "^0+", "")))
+    n = F.length(digits)
+    zero = F.lit("0")
+    sign = F.when(d < 0, "-").otherwise("")
+    scaled = F.concat(F.substring(digits, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""),
+                      F.when(point > 0, "e+").otherwise("e-"), F.abs(point - 1).cast("string"))
+    return F.when(d == 0, zero).otherwise(F.concat(sign, (
+        F.when((point > 21) | (point < -5), scaled)
+        .when(point <= 0, F.concat(F.lit("0."), F.repeat(zero, -point), digits))
+        .when(n <= point, F.concat(digits, F.repeat(zero, point - n)))
+        .otherwise(F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1))))))
+
+
 def _printed_number(v: Column) -> Column:
     stored = plain_text(v)
-    fixed = F.regexp_replace(F.try_variant_get(v, "$", "decimal(38,16)").cast("string"), r"\.?0+\z", "")
-    scientific = F.regexp_replace(F.regexp_replace(F.lower(stored), r"\.0e", "e"), r"e(?=\d)", "e+")
-    out_of_range = stored.rlike(r"E(-([7-9]|\d{2,})|2[1-9]|[3-9]\d|\d{3,})\z")
-    return (F.when(F.schema_of_variant(v) != "DOUBLE", stored)
-            .when(out_of_range, scientific).otherwise(fixed))
+    number = F.try_variant_get(v, "$", "double")
+    return F.when(F.schema_of_variant(v).rlike("^(DOUBLE|FLOAT|DECIMAL)"), F.transform(F.array(number), _double_text)[0]).otherwise(stored)
 
 
 def _printed(v: Column) -> Column:
@@ -86,12 +104,13 @@ def js_string(v: Column, path: str = "$", plain: Column | None = None) -> Column
     """Text of the value at ``path``, NULL for absent and null.
 
     Numbers print without ``.0`` and with an exponent only from 1e21 up and
-    below 1e-6; integers keep all their digits. Arrays print as comma-joined
+    below 1e-6; other numbers print the shortest digits of their double, integers
+    of up to 19 digits all of them. Arrays print as comma-joined
     elements, objects as ``[object Object]``.
     """
     t = plain_text(v, path) if plain is None else plain
     at = v if path == "$" else js_get(v, path)
-    return F.when(t.rlike(r"^(\[|\{|-?\d+[.eE])"), _seldom(at, _printed)).otherwise(t)
+    return F.when(t.rlike(r"^(\[|\{|-?\d+[.eE]|-?\d{20})"), _seldom(at, _printed)).otherwise(t)
 
 
 def js_truthy(v: Column, path: str = "$", plain: Column | None = None) -> Column:
@@ -115,17 +134,21 @@ def js_number(s: Column) -> Column:
     octal and binary prefixes and ``Infinity`` are numbers."""
     t = js_trim(s)
     prefix = F.lower(F.substring(t, 1, 2))
-    digits = F.substring(t, 3, 64)
+    digits = F.substr(t, F.lit(3))
 
-    def based(pattern: str, base: int) -> Column:
-        return F.when(digits.rlike(pattern), F.conv(digits, base, 10).try_cast("double"))
+    def based(pattern: str, base: int, places: int) -> Column:
+        # 60 bits of the number, all a double can hold, times the power of the digits behind them.
+        figures = F.regexp_replace(digits, "^0+(?=.)", "")
+        behind = F.greatest(F.length(figures) - places, F.lit(0))
+        head = F.conv(F.substring(figures, 1, places), base, 10).try_cast("double")
+        return F.when(digits.rlike(pattern), head * F.pow(F.lit(float(base)), behind))
 
     return (
         F.when(t == "", F.lit(0.0))
         .when(t.rlike(rf"^[+-]?{_DECIMAL}\z"), t.try_cast("double"))
-        .when(prefix == "0x", based(r"^[0-9a-fA-F]+\z", 16))
-        .when(prefix == "0o", based(r"^[0-7]+\z", 8))
-        .when(prefix == "0b", based(r"^[01]+\z", 2))
+        .when(prefix == "0x", based(r"^[0-9a-fA-F]+\z", 16, 15))
+        .when(prefix == "0o", based(r"^[0-7]+\z", 8, 20))
+        .when(prefix == "0b", based(r"^[01]+\z", 2, 60))
         .when(t.rlike(r"^[+-]?Infinity\z"), t.try_cast("double"))
     )
 

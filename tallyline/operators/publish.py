@@ -11,7 +11,6 @@ from tallyline.operators import normalize
 from tallyline.operators.ordering import with_position
 
 CHUNK_ROWS = 5_000
-BATCH_PART_ROWS = 5_000
 
 # Minutes of the local day at which the day so far is published.
 SLOT_TIMES = ["07:40", "09:10", "10:40", "12:10", "13:40", "15:10", "16:40", "18:10", "19:40", "21:10", "22:40"]
@@ -120,14 +119,18 @@ def layout(verdicts: DataFrame, keep: list[str], raw: str = "raw") -> DataFrame:
     return texts.select(*keep, *[value(a).alias(c) for c, a in LAYOUT.items()])
 
 
+def top_level_keys(raw: str = "raw") -> Column:
+    return F.coalesce(F.size(F.array_distinct(F.json_object_keys(raw))), F.lit(0))
+
+
 def richest(verdicts: DataFrame, raw: str = "raw") -> DataFrame:
     """Per day and id the verdict with the most top-level keys, ties to the
     earliest, with the place of the id's first appearance.
 
-    Only ids and counts are grouped (in partial aggregates, so a hot id costs one
-    row per task); the records themselves are not shuffled.
+    Only ids and counts are grouped, in partial aggregates, so a hot id costs one
+    row per task. ``n_keys`` is taken from the rows where they have it.
     """
-    keys = F.coalesce(F.size(F.array_distinct(F.json_object_keys(raw))), F.lit(0))
+    keys = F.col("n_keys") if "n_keys" in verdicts.columns else top_level_keys(raw)
     place = ["created_at", "batch_id", "item_pos"]
     first = F.min(F.struct(*place)).alias("first")
     best = F.min(F.struct((-keys).alias("neg_keys"), *place, "run_id")).alias("best")
@@ -153,13 +156,12 @@ def payloads(rows: DataFrame, by: list[str], order: str, columns: list[str]) ->
     return rows.groupBy(*by).agg(F.count("*").alias("n_rows"), F.to_json(F.struct(listed.alias("data"))).alias("payload"))
 
 
-def delivery_payloads(verdicts: DataFrame, part_rows: int = BATCH_PART_ROWS) -> DataFrame:
-    """Delivery text per run and batch in the publish layout plus two older keys.
-    A batch beyond ``part_rows`` is sent in parts, numbered by item position."""
+def delivery_payloads(verdicts: DataFrame) -> DataFrame:
+    """Delivery text per run and batch in the publish layout plus two older keys. A batch is one page of the feed
+    and is sent whole."""
     rows = layout(verdicts, ["run_id", "batch_id", "item_pos"])
-    rows = rows.withColumns({"GTIN_number": F.col("GTIN"), "Status": F.col("`AI Verified Status`"),
-                             "part": F.floor((F.col("item_pos") - 1) / part_rows)})
-    return payloads(rows, ["run_id", "batch_id", "part"], "item_pos", [*LAYOUT, "GTIN_number", "Status"])
+    rows = rows.withColumns({"GTIN_number": F.col("GTIN"), "Status": F.col("`AI Verified Status`")})
+    return payloads(rows, ["run_id", "batch_id"], "item_pos", [*LAYOUT, "GTIN_number", "Status"])
 
 
 def slot_counts(verdicts: DataFrame) -> DataFrame:

@@ -32,9 +32,13 @@ def with_run_day(verdicts: DataFrame, runs: DataFrame, offset_minutes: int = dat
     return verdicts.join(days, "run_id")
 
 
-def in_run_window(verdicts: DataFrame, runs: DataFrame) -> DataFrame:
-    """Verdicts under every day of their run's inclusive window. The range becomes
-    an equality: each run lists its own days, bounded by the window's length."""
+def in_run_window(verdicts: DataFrame, runs: DataFrame, day: str | None = None) -> DataFrame:
+    """Verdicts of the runs whose inclusive window holds ``day``; without a day, under every day of their run's window
+    (each run then lists its own days, which makes the range an equality)."""
+    if day:
+        held = runs.where(F.lit(day).cast("date").between(F.col("from_date"), F.col("to_date")))
+        held = held.select("run_id", F.lit(day).cast("date").alias("day"))
+        return verdicts.filter(F.col("gtin") != "").join(held, "run_id")
     days = runs.select("run_id", F.explode(F.sequence("from_date", "to_date")).alias("day"))
     return verdicts.filter(F.col("gtin") != "").join(days, "run_id")
 
@@ -61,4 +65,4 @@ def backfill_totals(items: DataFrame, stored: DataFrame, key: str = "gtin") -> D
 def existing_ids(wanted: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Distinct wanted ids that have a verdict."""
     ids = wanted.select("gtin").filter(F.col("gtin") != "").distinct()
-    return ids.join(verdicts.select("gtin"), "gtin", "left_semi")
+    return ids.join(verdicts.select("gtin").distinct(), "gtin", "left_semi")

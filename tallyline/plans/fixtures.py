@@ -105,12 +105,13 @@ SELECT o_orderkey AS outbox_id, o_custkey AS batch_id, cast(1 + o_orderkey%12 AS
 FROM {orders}
 """
 
+# Ids on the pages landed in six months, and ids validated by the runs of the two months before.
 FEED_IDS = """
-SELECT '890' || lpad(cast(p_partkey AS string),10,'0') AS gtin FROM {part} WHERE p_partkey%50<>0
+SELECT DISTINCT gtin FROM {products} WHERE trim(gtin)<>'' AND run_date >= DATE '1995-03-01' AND run_date < DATE '1995-09-01'
 """
 
 STORED_IDS = """
-SELECT DISTINCT gtin FROM {products} WHERE trim(gtin)<>'' AND rid%7=0
+SELECT DISTINCT gtin FROM {products} WHERE trim(gtin)<>'' AND run_date < DATE '1995-03-01'
 """
 
 TEXTS = {
@@ -120,7 +121,7 @@ TEXTS = {
 NEEDS = {
     "products": ["lineitem", "orders", "part", "supplier", "nation"], "runs": ["products"],
     "batch_events": ["products"], "checkpoints": ["batch_events"], "snapshots": ["events"],
-    "outbox": ["orders"], "feed_ids": ["part"], "stored_ids": ["products"],
+    "outbox": ["orders"], "feed_ids": ["products"], "stored_ids": ["products"],
 }
 
 

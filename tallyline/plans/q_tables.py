@@ -51,10 +51,10 @@ def verdicts_for_day(spark, sf_dir):
 
 
 @register("verdict_count_by_day", query("""
-SELECT ist_day AS day, count(*) AS n FROM verdicts JOIN run_days USING (run_id) GROUP BY 1""", "verdicts", "run_days"))
+SELECT ist_day AS day, count(*) AS n FROM current JOIN run_days USING (run_id) GROUP BY 1""", "current", "run_days"))
 def verdict_count_by_day(spark, sf_dir):
-    log, r = tables(spark, sf_dir, "verdicts", "runs")
-    return verdict_store.with_run_day(log, r).groupBy("day").agg(F.count("*").alias("n"))
+    rows, r = current(spark, sf_dir), store(spark, sf_dir, "runs")
+    return verdict_store.with_run_day(rows, r).groupBy("day").agg(F.count("*").alias("n"))
 
 
 @register("verdicts_in_run_window", query("""
@@ -223,13 +223,13 @@ SELECT day, l.run_id, CASE WHEN status IN ('RUNNING','PARTIAL_FAILED') AND items
   WHEN status='RUNNING' AND validated_count=0 AND items_fetched>0 THEN 'validation pending'
   WHEN coalesce(n,0)>0 THEN 'ready to publish' ELSE 'none' END AS advice
 FROM (SELECT *, ist_day AS day, row_number() OVER (PARTITION BY ist_day ORDER BY start_time DESC, run_id DESC) AS rn
-  FROM run_days) l LEFT JOIN (SELECT ist_day AS day, count(*) AS n FROM verdicts JOIN run_days USING (run_id) GROUP BY 1)
-  USING (day) WHERE rn=1""", "verdicts", "run_days"))
+  FROM run_days) l LEFT JOIN (SELECT ist_day AS day, count(*) AS n FROM current JOIN run_days USING (run_id) GROUP BY 1)
+  USING (day) WHERE l.rn=1""", "current", "run_days"))
 def run_health(spark, sf_dir):
-    log, r = tables(spark, sf_dir, "verdicts", "runs")
+    rows, r = current(spark, sf_dir), store(spark, sf_dir, "runs")
     days = r.withColumn("day", dates.local_day(F.col("start_time")))
     latest = runs._top(days, ["day"], F.desc("start_time"), F.desc("run_id"))
-    counts = verdict_store.with_run_day(log, r).groupBy("day").agg(F.count("*").alias("n_verdicts"))
+    counts = verdict_store.with_run_day(rows, r).groupBy("day").agg(F.count("*").alias("n_verdicts"))
     return runs.run_health(latest, counts)
 
 
@@ -238,9 +238,9 @@ def run_health(spark, sf_dir):
 @register("run_results_export", query("""
 SELECT run_id, vgtin AS gtin, validation_status, reason_text AS reasons, CASE WHEN schema_valid THEN 'Yes' ELSE 'No' END
   AS schema_valid, CASE WHEN business_valid THEN 'Yes' ELSE 'No' END AS business_valid,
-  strftime(created_at, '%Y-%m-%dT%H:%M:%S.000Z') AS validated_at FROM verdicts""", "verdicts"))
+  strftime(created_at, '%Y-%m-%dT%H:%M:%S.000Z') AS validated_at FROM current""", "current"))
 def run_results_export(spark, sf_dir):
-    return reports.run_results(store(spark, sf_dir, "verdicts"))
+    return reports.run_results(current(spark, sf_dir))
 
 
 @register("run_report", query("""
@@ -316,12 +316,12 @@ def run_discrepancy(spark, sf_dir):
 
 
 @register("day_run_totals", query("""
-SELECT day, n_runs, total_fetched, unique_ids FROM (SELECT ist_day AS day, count(*) AS n_runs,
-  CAST(sum(items_fetched) AS BIGINT) AS total_fetched FROM run_days GROUP BY 1) JOIN (SELECT ist_day AS day,
-  count(DISTINCT vgtin) AS unique_ids FROM verdicts JOIN run_days USING (run_id) GROUP BY 1) USING (day)""",
-                                  "verdicts", "run_days"))
+SELECT day, n_runs, total_fetched, coalesce(unique_ids, 0) AS unique_ids FROM (SELECT ist_day AS day, count(*) AS n_runs,
+  CAST(sum(items_fetched) AS BIGINT) AS total_fetched FROM run_days GROUP BY 1) LEFT JOIN (SELECT ist_day AS day,
+  count(DISTINCT vgtin) AS unique_ids FROM current JOIN run_days USING (run_id) GROUP BY 1) USING (day)""",
+                                  "current", "run_days"))
 def day_run_totals(spark, sf_dir):
-    return reports.day_run_totals(*tables(spark, sf_dir, "runs", "verdicts"))
+    return reports.day_run_totals(store(spark, sf_dir, "runs"), current(spark, sf_dir))
 
 
 _OUTCOMES = """SELECT from_date AS day, count(*) AS total_runs, count(*) FILTER (WHERE status='SUCCESS') AS successful,
@@ -417,8 +417,8 @@ FROM (SELECT gtin, c, a, row_number() OVER (PARTITION BY gtin ORDER BY c, a) AS
     CAST(k AS VARCHAR) AS a FROM (SELECT p_partkey AS k, p_partkey AS n FROM part UNION ALL
     SELECT p_partkey, p_partkey//2 FROM part) WHERE n%71<>0)) WHERE rn=1)"""
 _COVERED = f"""(SELECT l.gtin, v.validation_status, r.delivered_count>0 AS run_delivered FROM {_IDS} l
-LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY trim(vgtin) ORDER BY created_at, batch_id, item_pos) AS rn
-  FROM verdicts WHERE trim(vgtin)<>'') v ON v.vgtin=l.gtin AND v.rn=1 LEFT JOIN runs r ON r.run_id=v.run_id)"""
+LEFT JOIN (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY trim(vgtin) ORDER BY created_at DESC, batch_id DESC,
+  item_pos DESC) AS rn FROM current WHERE trim(vgtin)<>'') v ON trim(v.vgtin)=l.gtin AND v.rn=1 LEFT JOIN runs r ON r.run_id=v.run_id)"""
 
 
 @register("id_list_load", f"SELECT gtin, created_at, approval_status FROM {_IDS}")
@@ -427,19 +427,19 @@ def id_list_load(spark, sf_dir):
 
 
 def _covered(spark, sf_dir):
-    return coverage.list_coverage(_id_list(spark, sf_dir), *tables(spark, sf_dir, "verdicts", "runs"))
+    return coverage.list_coverage(_id_list(spark, sf_dir), current(spark, sf_dir), store(spark, sf_dir, "runs"))
 
 
 @register("id_list_coverage", query(f"""
 SELECT gtin, validation_status, run_delivered, validation_status IS NOT NULL AS present FROM {_COVERED}""",
-                                    "verdicts", "runs"))
+                                    "current", "runs"))
 def id_list_coverage(spark, sf_dir):
     return _covered(spark, sf_dir).select("gtin", "validation_status", "run_delivered", "present")
 
 
 @register("id_list_status_counts", query(f"""
 SELECT coalesce(validation_status,'missing') AS status, count(*) AS n,
-  count(*) FILTER (WHERE run_delivered) AS in_delivered_runs FROM {_COVERED} GROUP BY 1""", "verdicts", "runs"))
+  count(*) FILTER (WHERE run_delivered) AS in_delivered_runs FROM {_COVERED} GROUP BY 1""", "current", "runs"))
 def id_list_status_counts(spark, sf_dir):
     return coverage.list_status_counts(_covered(spark, sf_dir))
 

@@ -45,7 +45,7 @@ def write_version(df: DataFrame, root: str, version: int) -> str:
     return path
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
+def latest_version(spark: SparkSession, root: str, prefix: str = "version=") -> int | None:
     """Highest finished version under ``root`` (one with a success marker)."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -55,6 +55,6 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     for status in fs.listStatus(hadoop):
         name = status.getPath().getName()
         marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("version=") and fs.exists(marker):
-            found.append(int(name.removeprefix("version=")))
+        if name.startswith(prefix) and fs.exists(marker):
+            found.append(int(name.removeprefix(prefix)))
     return max(found, default=None)

@@ -4,26 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyline.functions import jsvals as js
 
 # Keys that may hold the item list of a page, in order of preference.
 LIST_KEYS = ["items", "data", "products"]
 
-PAGE_SCHEMA = T.StructType([T.StructField("v", T.VariantType())])
+def parse_pages(lines: DataFrame) -> DataFrame:
+    """Text lines ``value`` with their VARIANT ``v``, NULL where they do not parse."""
+    return lines.filter(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One VARIANT ``v`` per landed page (a JSON line); NULL where it does not parse."""
-    return spark.read.option("singleVariantColumn", "v").json(path)
+    """Landed pages, a JSON line each: their text ``value`` and VARIANT ``v``."""
+    return parse_pages(spark.read.text(path))
 
 
 def stream_pages(spark: SparkSession, path: str, files_per_trigger: int = 200) -> DataFrame:
     """The same as a stream. ``files_per_trigger`` bounds each batch; pages beyond
     it wait for the next one, none is dropped."""
-    return (spark.readStream.schema(PAGE_SCHEMA).option("singleVariantColumn", "v")
-            .option("maxFilesPerTrigger", files_per_trigger).json(path))
+    return parse_pages(spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path))
 
 
 def decode_envelope(pages: DataFrame, payload: Column) -> DataFrame:
@@ -60,7 +60,7 @@ def page_header(pages: DataFrame, v: str = "v") -> DataFrame:
 
 
 def page_items(pages: DataFrame, v: str = "v") -> DataFrame:
-    """One row per item of every readable page, with its place in the page."""
+    """One row per item of every readable page, with its place in the page; ``quarantine`` has the others."""
     good = pages.filter(F.col(v).isNotNull())
     keep = ["run_id", "batch_id", "from_date", "source_page_seq"]
     return page_header(good, v).select(*keep, F.posexplode("items").alias("pos", "item")).select(
@@ -74,8 +74,8 @@ def quarantine(lines: DataFrame, raw: str = "value") -> DataFrame:
 
 
 def window_scan(items: DataFrame, day: Column, start: str | None, end: str | None) -> DataFrame:
-    """Items of an inclusive day range; an open end is unbounded. A plain range on
-    the partition day, so partitions outside it are never listed."""
+    """Items of an inclusive day range; an open end is unbounded. A plain range on ``day``: where the table is
+    partitioned by it, partitions outside are never listed."""
     if start:
         items = items.filter(day >= F.lit(start).cast("date"))
     if end:

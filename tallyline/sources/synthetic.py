@@ -18,7 +18,8 @@ def record(i: Column) -> Column:
                        F.lit("veg").alias("food_type"))
     shelf = F.struct(F.lit("12").alias("value"), F.lit("month").alias("unit"), F.lit("mfg").alias("based_on"))
     return F.to_json(F.struct(
-        F.concat(F.lit("890"), F.lpad(i.cast("string"), 10, "0")).alias("gtin"),
+        F.concat(F.lit("890"), F.when(F.length(i.cast("string")) >= 10, i.cast("string")).otherwise(
+            F.lpad(i.cast("string"), 10, "0"))).alias("gtin"),
         day.alias("activation_date"), end.alias("deactivation_date"), F.lit("Test Brand").alias("brand"),
         F.concat(F.lit("Product "), i.cast("string")).alias("name"), F.lit("Load test product").alias("description"),
         F.when(i % 3 == 0, "food").otherwise("non-food").alias("category"), F.lit("general").alias("sub_category"),

@@ -5,11 +5,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.operators import monitor, publish, validate
+from tallyline.operators import coverage, monitor, publish, validate, verdict_store
 from tallyline.operators.ordering import with_position
 from tallyline.plans import catalog, check
 from tallyline.sinks import files
+from tallyline.session import scratch_path
 from tallyline.sources import feed, id_list, synthetic
+from tallyline.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,7 +77,85 @@ def test_id_list_headers_and_duplicates(spark):
     assert got == [("1", "2026-03-04"), ("2", "")]
 
 
-@pytest.mark.parametrize("key", ["validate_products", "upsert_latest_verdict", "publish_dedup", "publish_slots",
+def _land(spark, rows, schema, path):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(spark.createDataFrame([], schema).schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_held_and_late_deliveries_are_released_by_later_runs(spark):
+    path, root, check_at = (scratch_path(spark, n) for n in ("in", "release", "checkpoint"))
+    schema = "gtin string, created_at timestamp_ntz"
+    at = lambda day, hour=0: __import__("datetime").datetime(2026, 1, day, hour)
+
+    def run(now, rows):
+        out = jobs.release_run(_land(spark, rows, schema, path), 6, now, root, check_at)
+        return sorted(r["gtin"] for r in spark.read.parquet(out).collect()) if rows is not None else None
+
+    assert run("2026-01-01 06:00:00", [("a", at(1)), ("b", at(1, 1)), ("c", at(20))]) == ["a"]
+    # New files, one row of them late; then nothing new at all, only a later time.
+    assert run("2026-01-02 00:00:00", [("d", at(1)), ("e", at(3))]) == ["a", "b", "d"]
+    assert run("2026-01-10 00:00:00", []) == ["a", "b", "d", "e"]
+    assert run("2026-02-10 00:00:00", []) == ["a", "b", "c", "d", "e"]
+    assert run("2026-02-10 00:00:00", []) == ["a", "b", "c", "d", "e"]
+
+
+def test_late_keys_and_polls_count_and_restarts_repeat_nothing(spark):
+    import datetime as dt
+
+    day = lambda n: dt.datetime(2026, 1, n, tzinfo=dt.UTC)
+    path, out, at = (scratch_path(spark, n) for n in ("keys", "delivered", "checkpoint"))
+    for rows in ([("k1", day(25)), ("k2", day(25)), ("k1", day(26))], [("k1", day(1)), ("k3", day(3))], []):
+        stream = _land(spark, rows, "idempotency_key string, delivered_at timestamp", path)
+        jobs.first_deliveries(stream, out, at).awaitTermination()
+    got = sorted((r["idempotency_key"], r["delivered_at"].day) for r in spark.read.parquet(out).collect())
+    assert got == [("k1", 25), ("k2", 25), ("k3", 3)]
+
+    path, out, at = (scratch_path(spark, n) for n in ("polls", "windows", "checkpoint"))
+    for rows in ([("r", day(5), 3)], [("r", day(5), 9), ("r", day(1), 4)], [("s", day(9), 1)]):
+        jobs.poll_windows(_land(spark, rows, "run_no string, ts timestamp, source_total long", path), out, at).awaitTermination()
+    got = sorted((r["run_no"], r["interval_start"].day, r["polls"], r["max_total"]) for r in jobs.merged_windows(spark, out).collect())
+    assert got == [("r", 1, 1, 4), ("r", 5, 2, 9), ("s", 9, 1, 1)]
+
+
+def test_unreadable_pages_keep_their_text(spark, tmp_path):
+    landing = tmp_path / "pages"
+    landing.mkdir()
+    (landing / "a").write_text('{"runId":"r","batchId":1,"payload":{"items":[{"gtin":"1"},{"gtin":"2"}]}}\n{"runId": broken\n')
+    for n in range(2):  # the second pass restarts on the same checkpoints
+        pages = feed.stream_pages(spark, str(landing))
+        jobs.write_verdicts(pages, str(tmp_path / "v"), str(tmp_path / "cv")).awaitTermination()
+        jobs.write_quarantine(pages, str(tmp_path / "q"), str(tmp_path / "cq")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "v")).count() == 2
+    assert [r["raw"] for r in spark.read.parquet(str(tmp_path / "q")).collect()] == ['{"runId": broken']
+
+
+def test_one_odd_price_does_not_end_the_job(spark):
+    raw = '{"gtin":"1","mrp":[{"mrp":"0x%s","target_market":"India"}]}' % ("f" * 20)
+    made = validate.validate_json(spark.createDataFrame([(raw,)], "raw string"), []).collect()
+    assert not any(r.startswith("MRP: ") for r in made[0]["reasons"])
+
+
+def test_publishing_sends_the_current_verdict(spark):
+    rows = [("1", "r1", 1, 1, "2026-01-01 08:00:00", "Rejected", '{"a":1,"b":2,"c":3}'),
+            ("1", "r1", 2, 1, "2026-01-01 15:00:00", "Accepted", '{"a":1,"b":2}')]
+    log = spark.createDataFrame(rows, "gtin string, run_id string, batch_id int, item_pos int, created_at string, validation_status string, raw string")
+    log = log.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+    runs = spark.createDataFrame([("r1", "2026-01-01 07:00:00", "2026-01-01", "2026-01-02", 5)], "run_id string, start_time string, from_date string, to_date string, delivered_count int")
+    runs = runs.withColumns({"start_time": F.col("start_time").cast("timestamp_ntz"), "from_date": F.col("from_date").cast("date"), "to_date": F.col("to_date").cast("date")})
+    current = verdict_store.latest(log)
+    best = publish.richest(verdict_store.with_run_day(current, runs)).collect()
+    assert [(r["batch_id"], r["n_keys"]) for r in best] == [(2, 2)]
+    ids = spark.createDataFrame([("1",), ("2",)], "gtin string")
+    for day, want in ((None, "Accepted"), ("2026-01-02", "Accepted"), ("2026-01-03", None)):
+        got = {r["gtin"]: r["validation_status"] for r in coverage.list_coverage(ids, current, runs, day).collect()}
+        assert got == {"1": want, "2": None}
+    assert verdict_store.in_run_window(current, runs, "2026-01-02").count() == 1
+    assert verdict_store.in_run_window(current, runs).count() == 2
+
+
+@pytest.mark.parametrize("key", ["validate_products", "stream_validate", "stream_monitor", "stream_idempotency",
+                                 "delivery_release", "day_run_totals", "run_health", "id_list_coverage", "existing_ids",
+                                 "coverage_missing", "coverage_extra", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
                                  "resumable_run", "coverage_summary", "run_stalls", "monitor_summary", "stream_upsert",
                                  "stream_run_counters", "backfill_totals", "reason_frequency", "outbox_transition"])
 def test_query_matches_sql(spark, key):

@@ -17,7 +17,10 @@ def test_string(spark):
     cases = {"300.0": "300", "1e3": "1000", "1e21": "1e+21", "1.5e-7": "1.5e-7", "2e-5": "0.00002", "0.5": "0.5",
              "8906183052619": "8906183052619", "true": "true", '"1e3"': "1e3", '"300.0"': "300.0", "null": None,
              '["a",1,null]': "a,1,", '[{"a":1},[2,3]]': "[object Object],2,3", '{"a":1}': "[object Object]",
-             '"{x"': "{x", "[]": ""}
+             '"{x"': "{x", "[]": "", "1.23456789012345678e-5": "0.000012345678901234568",
+             "1.234567890123456e-6": "0.000001234567890123456", "0.0000001": "1e-7", "-0.0000015": "-0.0000015",
+             "1234567890123456789012": "1.2345678901234568e+21", "123456789012345678901": "123456789012345680000",
+             "-2.50": "-2.5", "1e300": "1e+300", "0.0": "0", "100000.25": "100000.25", "12345678.5": "12345678.5"}
     assert column(spark, list(cases), js.js_string, parse=True) == list(cases.values())
 
 
@@ -29,7 +32,8 @@ def test_truthy(spark):
 
 def test_number(spark):
     cases = {"": 0.0, "  ": 0.0, "5d": None, "250f": None, "inf": None, "1e3": 1000.0, "0x1F": 31.0, " 7 ": 7.0,
-             ".5": 0.5, "5.": 5.0, ".": None, "1,2": None, "0b101": 5.0, "0o17": 15.0}
+             ".5": 0.5, "5.": 5.0, ".": None, "1,2": None, "0b101": 5.0, "0o17": 15.0,
+             "0b" + "0" * 64 + "11": 3.0, "0x" + "f" * 20: float(16**20), "0x": None, "0xg": None}
     assert column(spark, list(cases), js.js_number) == list(cases.values())
     assert column(spark, list(cases), js.is_js_number) == [v is not None for v in cases.values()]
 
