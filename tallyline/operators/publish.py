@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import dates
 from tallyline.functions import jsvals as js
-from tallyline.operators import normalize
 from tallyline.operators.ordering import with_position
 
 CHUNK_ROWS = 5_000
@@ -70,51 +69,21 @@ LAYOUT: dict[str, list[str]] = {
 }
 
 
-def _key_and_path(alias: str) -> tuple[str, str]:
-    """``.mrp[0].mrp`` is key ``mrp`` and path ``$[0].mrp``; ``['a b']`` is a key."""
-    if alias.startswith("['"):
-        return alias[2:-2], "$"
-    name = alias[1:]
-    cut = min([n for n in (name.find("."), name.find("[")) if n >= 0], default=len(name))
-    return name[:cut], "$" + name[cut:]
-
-
 def layout(verdicts: DataFrame, keep: list[str], raw: str = "raw") -> DataFrame:
-    """Verdicts in the publish layout, read from the raw record.
-
-    Names that differ only in case cannot share one schema, so capitalised and
-    lower-case keys are parsed side by side, both as strings; only lists, objects
-    and numbers with a point are read again with their type.
-    """
-    aliases = dict.fromkeys(p for listed in LAYOUT.values() for p in listed if not p.startswith("$"))
-    where = {p: _key_and_path(p) for p in aliases}
-    text = F.col(raw)
-    parsed = verdicts
-    for name, upper in (("_upper", True), ("_lower", False)):
-        paths = [kp for kp in where.values() if kp[0][0].isupper() == upper]
-        parsed = parsed.withColumn(name, F.from_json(text, normalize.text_schema(paths)))
-
-    def plain(alias: str) -> Column:
-        key, path = where[alias]
-        record = F.col("_upper" if key[0].isupper() else "_lower")
-        value = normalize.leaf(record, key, path)
-        if key == "mrp":
-            # A list with odd entries does not fit the schema; its first entry may.
-            odd = record[key].isNull() & text.contains('"mrp"')
-            value = F.when(odd, js.plain_text(normalize.typed_value(text, key), path)).otherwise(value)
-        return value
-
-    names = {p: f"_p{n}" for n, p in enumerate(aliases)}
-    texts = parsed.withColumns({n: plain(p) for p, n in names.items()}).withColumns(
-        {f"{n}t": js.js_trim(js.js_string(normalize.typed_value(text, where[p][0]), where[p][1], F.col(n)))
-         for p, n in names.items()})
+    """Verdicts in the publish layout, read from the raw record: it is parsed once, the values of all paths go into one
+    array, and one expression turns each into its trimmed text."""
+    paths = list(dict.fromkeys(p for listed in LAYOUT.values() for p in listed if not p.startswith("$")))
+    at = {p: n for n, p in enumerate(paths)}
+    found = F.array(*[js.js_get(F.col("_record"), "$" + p) for p in paths])
+    texts = verdicts.withColumn("_record", F.try_parse_json(raw)).withColumn("_found", found).withColumn(
+        "_texts", F.transform("_found", lambda v: F.nullif(js.js_trim(js.js_string(v)), F.lit(""))))
     own = {"$gtin": F.coalesce("gtin", F.lit("")), "$validation_status": F.coalesce("validation_status", F.lit("")),
            "$reasons": F.array_join("reasons", "; ")}
 
     def value(listed: list[str]) -> Column:
         if listed[0] in own:
             return own[listed[0]]
-        return F.coalesce(*[F.nullif(F.col(f"{names[p]}t"), F.lit("")) for p in listed], F.lit(""))
+        return F.coalesce(*[F.get("_texts", F.lit(at[p])) for p in listed], F.lit(""))
 
     return texts.select(*keep, *[value(a).alias(c) for c, a in LAYOUT.items()])
 

@@ -153,6 +153,30 @@ def test_publishing_sends_the_current_verdict(spark):
     assert verdict_store.in_run_window(current, runs).count() == 2
 
 
+def test_layout_fills_every_column_through_every_alias(spark):
+    import json
+
+    def record(alias, value):
+        """The smallest record that has ``value`` at the alias."""
+        if alias.startswith("['"):
+            return {alias[2:-2]: value}
+        steps = alias[1:].replace("[0]", ".0").split(".")
+        for step in reversed(steps):
+            value = [value] if step == "0" else {step: value}
+        return value
+
+    cases = [(c, a) for c, listed in publish.LAYOUT.items() for a in listed if not a.startswith("$")]
+    values = [(f"  text {n} ", f"text {n}") if n % 3 else (n + 0.50, f"{n}.5") for n in range(len(cases))]
+    rows = [(n, json.dumps(record(a, v[0])), "g", "Accepted", ["r", "s"]) for n, ((_, a), v) in enumerate(zip(cases, values, strict=True))]
+    rows.append((len(cases), "no json", "g", None, []))
+    frame = spark.createDataFrame(rows, "n int, raw string, gtin string, validation_status string, reasons array<string>")
+    got = {r["n"]: r for r in publish.layout(frame, ["n"]).collect()}
+    for n, ((column, alias), (_, want)) in enumerate(zip(cases, values, strict=True)):
+        filled = {c: got[n][c] for c in publish.LAYOUT if got[n][c]}
+        assert filled == {column: want, "GTIN": "g", "AI Verified Status": "Accepted", "AI Verified Reason": "r; s"}, alias
+    assert [c for c in publish.LAYOUT if got[len(cases)][c]] == ["GTIN"]
+
+
 @pytest.mark.parametrize("key", ["validate_products", "stream_validate", "stream_monitor", "stream_idempotency",
                                  "delivery_release", "day_run_totals", "run_health", "id_list_coverage", "existing_ids",
                                  "coverage_missing", "coverage_extra", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
