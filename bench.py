@@ -18,7 +18,9 @@ HEADLINE = [
     "validate_products", "upsert_latest_verdict", "publish_dedup", "publish_slots", "run_counters", "daily_summary",
     "run_discrepancy", "day_run_totals", "reason_frequency", "top_duplicate_ids", "verdicts_for_day",
     "coverage_summary", "backfill_totals", "id_list_coverage", "next_run_action", "idempotency_insert",
-    "outbox_transition", "monitor_summary", "run_stalls", "stream_upsert", "stream_run_counters",
+    "outbox_transition", "monitor_summary", "run_stalls", "stream_upsert", "stream_run_counters", "publish_layout", "publish_chunks",
+    "delivery_payload", "daily_verdict_csv", "batch_verdict_json", "stream_validate", "stream_monitor",
+    "stream_idempotency", "delivery_release",
 ]
 
 

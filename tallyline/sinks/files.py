@@ -20,10 +20,23 @@ def verdict_rows(verdicts: DataFrame, day: str) -> DataFrame:
 
 
 def append_daily_csv(verdicts: DataFrame, path: str, day: str) -> None:
-    """Append to ``path/day=<day>/``; rows are quoted, blank values too."""
-    rows = verdict_rows(verdicts, day).select(*VERDICT_FILE, F.col("Date").alias("day"))
+    """Append to ``path/day=<day>/``: a bare header line once for each day, then rows, quoted, blank values too."""
+    rows = verdict_rows(verdicts, day)
+    quoted = [F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')) for c in VERDICT_FILE]
+    lines = rows.select(F.col("Date").alias("day"), F.lit(1).alias("n"), F.concat_ws(",", *quoted).alias("value"))
+    headers = rows.select(F.col("Date").alias("day")).distinct().select(
+        "day", F.lit(0).alias("n"), F.lit(",".join(VERDICT_FILE)).alias("value"))
+    if exists(verdicts.sparkSession, path):
+        begun = verdicts.sparkSession.read.text(path).select(F.col("day").cast("string").alias("day")).distinct()
+        headers = headers.join(begun, "day", "left_anti")
     # Days gather into few files; a heavy day is split by size at run time.
-    rows.hint("rebalance", F.col("day")).write.mode("append").options(**QUOTED).partitionBy("day").csv(path)
+    gathered = lines.unionByName(headers).hint("rebalance", F.col("day")).sortWithinPartitions("day", "n")
+    gathered.select("day", "value").write.mode("append").partitionBy("day").text(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def write_batch_json(verdicts: DataFrame, path: str, day: str) -> None:
