@@ -31,13 +31,21 @@ def delivered(http_status: Column) -> Column:
     return F.coalesce(http_status.between(200, 299), F.lit(False))
 
 
+def failure(http_status: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("status "), http_status.cast("string")), F.lit("no response"))
+
+
+def append_outbox(attempts: DataFrame, at: str, path: str) -> None:
+    """Append the failed deliveries of a run to the stored outbox."""
+    enqueue_failed(attempts, at).write.mode("append").parquet(path)
+
+
 def enqueue_failed(attempts: DataFrame, at: str) -> DataFrame:
-    """Outbox records for failed deliveries, due two minutes after the attempt."""
+    """Outbox records for failed deliveries, with what was to be sent, due two minutes after the attempt."""
     failed = attempts.filter(~delivered(F.col("http_status")))
-    error = F.coalesce(F.concat(F.lit("status "), F.col("http_status").cast("string")), F.lit("no response"))
-    return failed.select("outbox_id", "batch_id", F.lit(1).alias("attempts"), F.lit("PENDING").alias("status"),
+    return failed.select("outbox_id", "run_id", "batch_id", "payload", F.lit(1).alias("attempts"), F.lit("PENDING").alias("status"),
                          (F.col(at) + dates.minutes(FIRST_RETRY_MINUTES)).alias("next_retry_at"),
-                         error.alias("last_error"))
+                         failure(F.col("http_status")).alias("last_error"))
 
 
 def due(outbox: DataFrame, now: Column, limit: int = REPLAY_LIMIT) -> DataFrame:
@@ -48,7 +56,7 @@ def due(outbox: DataFrame, now: Column, limit: int = REPLAY_LIMIT) -> DataFrame:
 
 def transition(outbox: DataFrame, now: Column) -> DataFrame:
     """Due records after their retry: delivered, or one more attempt after
-    ``2^attempts`` seconds, at most ten minutes."""
+    ``2^attempts`` seconds, at most ten minutes, with the new error."""
     is_due = (F.col("status") == "PENDING") & (F.col("next_retry_at") <= now)
     ok = delivered(F.col("http_status"))
     attempts = F.col("attempts") + 1
@@ -58,4 +66,5 @@ def transition(outbox: DataFrame, now: Column) -> DataFrame:
         "status": F.when(is_due & ok, "DELIVERED").otherwise(F.col("status")),
         "next_retry_at": F.when(is_due & ~ok, retry_at).otherwise(F.col("next_retry_at")),
         "attempts": F.when(is_due & ~ok, attempts).otherwise(F.col("attempts")),
+        "last_error": F.when(is_due & ~ok, failure(F.col("http_status"))).otherwise(F.col("last_error")),
     })

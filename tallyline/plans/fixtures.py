@@ -101,7 +101,9 @@ FROM {events}
 OUTBOX = """
 SELECT o_orderkey AS outbox_id, o_custkey AS batch_id, cast(1 + o_orderkey%12 AS int) AS attempts,
   o_orderdate AS next_retry_at, CASE WHEN o_orderstatus='F' THEN 'DELIVERED' ELSE 'PENDING' END AS status,
-  CASE o_custkey%5 WHEN 0 THEN NULL WHEN 1 THEN 200 WHEN 2 THEN 404 WHEN 3 THEN 429 ELSE 503 END AS http_status
+  CASE o_custkey%5 WHEN 0 THEN NULL WHEN 1 THEN 200 WHEN 2 THEN 404 WHEN 3 THEN 429 ELSE 503 END AS http_status,
+  cast(cast(o_orderdate AS date) AS string) || '#' || cast(o_orderkey%3 AS string) AS run_id,
+  '{{"data":[' || cast(o_orderkey AS string) || ']}}' AS payload, 'status 500' AS last_error
 FROM {orders}
 """
 

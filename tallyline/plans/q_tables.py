@@ -458,13 +458,14 @@ def retriable_outcomes(spark, sf_dir):
 
 
 @register("outbox_enqueue", query("""
-SELECT outbox_id, batch_id, CAST(1 AS INT) AS attempts, 'PENDING' AS status,
+SELECT outbox_id, run_id, batch_id, payload, CAST(1 AS INT) AS attempts, 'PENDING' AS status,
   CAST(next_retry_at + INTERVAL 2 MINUTE AS VARCHAR) AS next_retry_at,
   coalesce('status '||http_status, 'no response') AS last_error FROM outbox
 WHERE http_status IS NULL OR http_status NOT BETWEEN 200 AND 299""", "outbox"))
 def outbox_enqueue(spark, sf_dir):
-    out = delivery.enqueue_failed(fixtures.table(spark, sf_dir, "outbox"), "next_retry_at")
-    return out.withColumn("next_retry_at", F.col("next_retry_at").cast("string"))
+    path = scratch_path(spark, "outbox")
+    delivery.append_outbox(fixtures.table(spark, sf_dir, "outbox"), "next_retry_at", path)
+    return spark.read.parquet(path).withColumn("next_retry_at", F.col("next_retry_at").cast("string"))
 
 
 @register("outbox_due", query(f"""
@@ -478,11 +479,13 @@ def outbox_due(spark, sf_dir):
 SELECT outbox_id, CASE WHEN due AND http_status BETWEEN 200 AND 299 THEN 'DELIVERED' ELSE status END AS status,
   CASE WHEN due AND NOT coalesce(http_status BETWEEN 200 AND 299,false) THEN attempts+1 ELSE attempts END AS attempts,
   CAST(CASE WHEN due AND NOT coalesce(http_status BETWEEN 200 AND 299,false) THEN TIMESTAMP '{DUE_AT}'
-    + INTERVAL 1 SECOND * least(CAST(pow(2,attempts+1) AS INT),600) ELSE next_retry_at END AS VARCHAR) AS next_retry_at
+    + INTERVAL 1 SECOND * least(CAST(pow(2,attempts+1) AS INT),600) ELSE next_retry_at END AS VARCHAR) AS next_retry_at,
+  CASE WHEN due AND NOT coalesce(http_status BETWEEN 200 AND 299,false) THEN coalesce('status '||http_status, 'no response')
+    ELSE last_error END AS last_error
 FROM (SELECT *, status='PENDING' AND next_retry_at <= TIMESTAMP '{DUE_AT}' AS due FROM outbox)""", "outbox"))
 def outbox_transition(spark, sf_dir):
     return delivery.transition(fixtures.table(spark, sf_dir, "outbox"), ntz(DUE_AT)).select(
-        "outbox_id", "status", "attempts", text("next_retry_at"))
+        "outbox_id", "status", "attempts", text("next_retry_at"), "last_error")
 
 
 def _keys(spark, sf_dir):
