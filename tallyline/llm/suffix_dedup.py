@@ -30,6 +30,8 @@ LENGTH, SPREAD, BATCHES = 200, 150, 3
 PREFIX = LENGTH - SPREAD
 # Anchors of one fingerprint that one task resolves; more are resolved string by string.
 GROUP = 100_000
+# Bytes around anchors that a task gathers, to send equal ones once.
+HELD = 24 << 20
 _MASK = np.uint64(0xFFFFFFFF)
 _RNG = np.random.default_rng(7)
 _LETTER = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
@@ -138,22 +140,34 @@ class Family:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _contexts(length: int, spread: int):
-    """The bytes that the strings of each candidate anchor cover; equal ones of a batch once, with all their places."""
+def _contexts(length: int, spread: int, most: int = HELD):
+    """The bytes that the strings of each candidate anchor cover; equal ones of a task once, with all their places. A
+    task holds up to ``most`` bytes of them before it sends them on."""
+    def sent(seen: dict[tuple[int, bytes], list[tuple]]) -> Iterator[pa.RecordBatch]:
+        rows = pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in seen], pa.int64()), pa.array([c for _, c in seen], pa.binary()),
+             *[pa.array([[m[i] for m in members] for members in seen.values()], pa.list_(pa.int64())) for i in range(3)]],
+            ["key", "context", "docs", "marks", "starts"])
+        for at in range(0, rows.num_rows, 10_000):
+            yield rows.slice(at, 10_000)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple[int, bytes], list[tuple]] = {}
+        size = 0
         for b in batches:
-            seen: dict[tuple[int, bytes], list[tuple]] = {}
             for doc, mark, text, places in zip(*[b.column(c).to_pylist() for c in ("doc_id", "mark", "text", "places")], strict=True):
                 raw = text.encode()
                 at, first, last = anchors(raw, length, spread)
                 pick = np.isin(at, places)
                 keys = piece_hashes(prefix_sums(np.frombuffer(raw, np.uint8)), at[pick], length - spread).view(np.int64)
                 for key, lo, hi in zip(keys.tolist(), first[pick].tolist(), last[pick].tolist(), strict=True):
-                    seen.setdefault((key, raw[lo:hi + length]), []).append((doc, mark, lo))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in seen], pa.int64()), pa.array([c for _, c in seen], pa.binary()),
-                 *[pa.array([[m[i] for m in members] for members in seen.values()], pa.list_(pa.int64())) for i in range(3)]],
-                ["key", "context", "docs", "marks", "starts"])
+                    members = seen.setdefault((key, raw[lo:hi + length]), [])
+                    size += 24 if members else hi - lo + length + 100
+                    members.append((doc, mark, lo))
+            if size > most:
+                yield from sent(seen)
+                seen, size = {}, 0
+        yield from sent(seen)
 
     return run
 
