@@ -14,7 +14,18 @@ from struct import pack
 
 # White space of any of the libraries; a space next to one is not a safe place to cut.
 _BLANK = r"[\s\x1c-\x1f\x85]"
+# White space other than space and line feed; texts without it need no slow search.
+_RARE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _UNSAFE = re.compile(rf"{_BLANK} | {_BLANK}")
+
+
+def _plain(text: str) -> bool:
+    """No space of the text is next to white space."""
+    if _RARE.search(text):
+        return not _UNSAFE.search(text)
+    return "  " not in text and " \n" not in text and "\n " not in text
+
+
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 
 
@@ -53,7 +64,7 @@ class PieceCache(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
-        first, *rest = _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
+        first, *rest = text.split(" ") if _plain(text) else _CUT.split(text)
         return self.packed(first) + b"".join(map(self.__getitem__, rest))
 
 
