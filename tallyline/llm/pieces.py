@@ -68,6 +68,20 @@ class PieceCache(dict):
         return self.packed(first) + b"".join(map(self.__getitem__, rest))
 
 
+class WholeTexts(PieceCache):
+    """Texts that hold the content of an added token are encoded whole, as the library looks for these tokens first."""
+
+    def __init__(self, encode: Callable[[str], list[int]], whole: Callable[[str], list[int]], added: list[str]):
+        super().__init__(encode)
+        self.whole, self.added = whole, added
+
+    def ids(self, text: str) -> bytes:
+        if any(a in text for a in self.added):
+            ids = self.whole(text)
+            return pack(f"<{len(ids)}I", *ids)
+        return super().ids(text)
+
+
 @lru_cache(1)
 def ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -96,8 +110,8 @@ def json_file_cache(path: str) -> PieceCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer, whole = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # the pieces hold no added token
     merge, visible = tokenizer.model.tokenize, _visible_bytes()
 
     def encode(text: str) -> list[int]:
@@ -105,4 +119,5 @@ def json_file_cache(path: str) -> PieceCache:
             return [t.id for t in merge(text.encode().decode("latin-1").translate(visible))]
         return tokenizer.encode(text, add_special_tokens=False).ids
 
-    return PieceCache(encode)
+    added = [t.content for t in whole.get_added_tokens_decoder().values()]
+    return WholeTexts(encode, lambda text: whole.encode(text, add_special_tokens=False).ids, added)

@@ -176,6 +176,22 @@ def test_piece_cache_equals_the_library():
         assert np.frombuffer(cache.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_encoded_as_the_library_does(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(token_files.TOKENIZER)
+    cache = pieces.json_file_cache(token_files.TOKENIZER)
+    assert np.frombuffer(cache.ids("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    r = random.Random(6)
+    bits = ["a", "b ", " ", "\n", "'s", " 12", "é", "word ", "<|endoftext|>", "<|endoftext|", "<|ENDOFTEXT|>", "x."]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 15))) for _ in range(2000)]
+    plain = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+    assert all(np.frombuffer(cache.ids(t), "<u4").tolist() == plain(t) for t in texts)
+    docs = spark.createDataFrame(list(enumerate(texts[:40])), "doc_id long, text string")
+    got = token_files.read_token_files(token_files.write_token_files(docs, scratch_path(spark, "tokens"))).collect()
+    assert {x["doc_id"]: np.frombuffer(x["ids"], "<u4").tolist() for x in got} == {i: plain(t) + [0] for i, t in enumerate(texts[:40])}
+
+
 def test_token_files_read_back_whole_and_in_part(spark, edge, empty):
     rows, docs = edge
     from tokenizers import Tokenizer
