@@ -94,3 +94,67 @@ def cell(h, buckets):
 
 def crc(data: bytes) -> int:
     return zlib.crc32(data)
+
+
+def one_error(a, b):
+    """a and b differ by one inserted, deleted or replaced code point."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def word_counts(docs, least, every=None):
+    """Counter of the runs of letters of [(doc_id, text)]; every so many-th (document, run) loses a letter."""
+    total = collections.Counter()
+    for i, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'null' if i is None else i}:{run}".encode())
+            if every and h % every == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            total[run] += len(run) >= least
+    return {w: n for w, n in total.items() if n}
+
+
+def variants(counts, least=5, ratio=5):
+    """{word: n} -> [(word, form, root, n, n_near, form_n)]"""
+    words = {w: n for w, n in counts.items() if n >= least}
+    form, near = {}, {w: [v for v in words if one_error(v, w)] for w in words}
+    for w, n in words.items():
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= ratio * n else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return out
+
+
+def negatives(rows, every):
+    """Distinct usable [(vec_id, label, [int])] -> [(anchor, positive, rank, negative, positive score, negative score)]"""
+    out = []
+    dot = lambda a, b: max(-2**63, min(2**63 - 1, sum(x * y for x, y in zip(a, b, strict=True))))
+    for i, label, v in rows:
+        if i % every:
+            continue
+        scored = sorted(((-dot(v, w), j, k == label) for j, k, w in rows if j != i and len(v) == len(w)))
+        for p, j, _ in [x for x in scored if x[2]][:5]:
+            found = [(s, k) for s, k, same in scored if not same and 50 * -p <= 100 * -s <= 95 * -p][:3]
+            out += [(i, j, r + 1, k, -p, -s) for r, (s, k) in enumerate(found)]
+    return out
+
+
+def bottom_k(text, k, shingle=5):
+    """Smallest distinct hashes of the shingles, as signed numbers."""
+    words = re.findall(WORD, text or "")
+    parts = [words[i:i + shingle] for i in range(len(words) - shingle + 1)] or ([[" ".join(words)]] if words else [])
+    hashes = {chained(*p) for p in parts}
+    return sorted(h - 2**64 if h >= 2**63 else h for h in hashes)[:k]
+
+
+def alike(a, b, k):
+    union = sorted({*a, *b})[:k]
+    return len({*union} & {*a} & {*b}) / len(union) if union else 1.0
