@@ -50,46 +50,51 @@ def _joined(v: Column) -> Column:
     return F.array_join(F.try_variant_get(v, "$", "array<string>"), ",", "")
 
 
+def _bind(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once, however often ``fn`` names it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def _double_text(d: Column) -> Column:
     """The shortest digits that read back as ``d``: plain from 1e-6 to below 1e21, else with an exponent."""
-    shown = F.abs(d).cast("string")
-    exponent = F.coalesce(F.nullif(F.regexp_extract(shown, r"E(-?\d+)\z", 1), F.lit("")).try_cast("int"), F.lit(0))
-    whole, fraction = (F.regexp_extract(shown, r"^(\d+)\.?(\d*)", k) for k in (1, 2))
-    padded = F.concat(whole, fraction)
-    digits = F.regexp_replace(F.regexp_replace(padded, "^0+", ""), r"0+\z", "")
-    # Places before the point, counted from the first digit that is not zero.
-    point = F.length(whole) + exponent - (F.length(padded) - F.length(F.regexp_replace(padded, "^0+", "")))
-    n = F.length(digits)
     zero = F.lit("0")
-    sign = F.when(d < 0, "-").otherwise("")
-    scaled = F.concat(F.substring(digits, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""),
-                      F.when(point > 0, "e+").otherwise("e-"), F.abs(point - 1).cast("string"))
-    return F.when(d == 0, zero).otherwise(F.concat(sign, (
-        F.when((point > 21) | (point < -5), scaled)
-        .when(point <= 0, F.concat(F.lit("0."), F.repeat(zero, -point), digits))
-        .when(n <= point, F.concat(digits, F.repeat(zero, point - n)))
-        .otherwise(F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1))))))
 
+    def placed(x):
+        digits, point, n = x["digits"], x["point"], x["n"]
+        scaled = F.concat(F.substring(digits, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""),
+                          F.when(point > 0, "e+").otherwise("e-"), F.abs(point - 1).cast("string"))
+        return (
+            F.when(n == 0, zero).when((point > 21) | (point < -5), scaled)
+            .when(point <= 0, F.concat(F.lit("0."), F.repeat(zero, -point), digits))
+            .when(n <= point, F.concat(digits, F.repeat(zero, point - n)))
+            .otherwise(F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1))))
+
+    def counted(x):
+        # Places before the point, counted from the first digit that is not zero.
+        kept = F.ltrim(F.concat(x["whole"], x["fraction"]), zero)
+        digits = F.rtrim(kept, zero)
+        point = F.length(kept) - F.length(x["fraction"]) + x["exponent"]
+        return F.struct(digits.alias("digits"), point.alias("point"), F.length(digits).alias("n"))
 
-def _printed_number(v: Column) -> Column:
-    stored = plain_text(v)
-    number = F.try_variant_get(v, "$", "double")
-    return F.when(F.schema_of_variant(v).rlike("^(DOUBLE|FLOAT|DECIMAL)"), F.transform(F.array(number), _double_text)[0]).otherwise(stored)
+    def parted(shown):
+        mantissa = F.substring_index(shown, "E", 1)
+        return F.struct(F.substring_index(mantissa, ".", 1).alias("whole"), F.substring_index(mantissa, ".", -1).alias("fraction"),
+                        F.when(F.contains(shown, F.lit("E")), F.substring_index(shown, "E", -1).try_cast("int")).otherwise(0).alias("exponent"))
+
+    text = _bind(_bind(_bind(F.abs(d).cast("string"), parted), counted), placed)
+    return F.concat(F.when(d < 0, "-").otherwise(""), text)
 
 
 def _printed(v: Column) -> Column:
-    kind = F.schema_of_variant(v)
-    elements = F.try_variant_get(v, "$", "array<variant>")
-    inner = F.transform(elements, lambda e: F.when(F.schema_of_variant(e).startswith("OBJECT"),
-                                                   F.lit("[object Object]"))
-                        .when(F.schema_of_variant(e).startswith("ARRAY"), _joined(e))
-                        .otherwise(F.coalesce(_printed_number(e), F.lit(""))))
-    return (
-        F.when(kind.startswith("ARRAY"), F.array_join(inner, ","))
-        .when(kind.startswith("OBJECT"), F.lit("[object Object]"))
-        .when(kind == "STRING", plain_text(v))
-        .otherwise(_printed_number(v))
-    )
+    """A scalar prints as the only element of an array would."""
+    def element(e):
+        return _bind(F.schema_of_variant(e), lambda kind: (
+            F.when(kind.startswith("OBJECT"), F.lit("[object Object]")).when(kind.startswith("ARRAY"), _joined(e))
+            .when(kind.rlike("^(DOUBLE|FLOAT|DECIMAL)"), _bind(F.try_variant_get(e, "$", "double"), _double_text))
+            .otherwise(F.coalesce(plain_text(e), F.lit("")))))
+
+    listed = F.when(F.schema_of_variant(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).otherwise(F.array(v))
+    return F.array_join(F.transform(listed, element), ",")
 
 
 def js_text(v: Column, path: str = "$", plain: Column | None = None) -> Column:
