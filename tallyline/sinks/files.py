@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +36,52 @@ def append_daily_csv(verdicts: DataFrame, path: str, day: str) -> None:
     gathered.select("day", "value").write.mode("append").partitionBy("day").text(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _place(spark: SparkSession, path: str):
+    """(file system, path) in the session's own terms."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _place(spark, path)
+    return fs.exists(hadoop)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _place(spark, path)
+    fs.delete(hadoop, True)
+
+
+def folders(spark: SparkSession, path: str, prefix: str, suffix: str = "") -> dict[str, int]:
+    """Entries of a folder named ``prefix<name>suffix``: bytes by name; none where there is no folder."""
+    fs, hadoop = _place(spark, path)
+    if not fs.exists(hadoop):
+        return {}
+    found = [(s, s.getPath().getName()) for s in fs.listStatus(hadoop)]
+    return {n[len(prefix):len(n) - len(suffix)]: fs.getContentSummary(s.getPath()).getLength() if s.isDirectory() else s.getLen()
+            for s, n in found if n.startswith(prefix) and n.endswith(suffix)}
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop = _place(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place and move it there: a reader sees the old text or the new one."""
+    fs, hadoop = _place(spark, path)
+    _, beside = _place(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(beside), fs.makeQualified(hadoop), options)
 
 
 def write_batch_json(verdicts: DataFrame, path: str, day: str) -> None:
