@@ -10,6 +10,12 @@ from tallyline.functions import jsvals as js
 # Keys that may hold the item list of a page, in order of preference.
 LIST_KEYS = ["items", "data", "products"]
 
+UNPARSEABLE = "unparseable page"
+# A page cut into texts: every value as it is written, so that items are parsed once, by the validation.
+_PAGE = "runId string, batchId string, fromDate string, sourcePageSeq string, payload string, _bad string"
+_PAYLOAD = ", ".join(f"{k} string" for k in LIST_KEYS)
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
 def parse_pages(lines: DataFrame) -> DataFrame:
     """Text lines ``value`` with their VARIANT ``v``, NULL where they do not parse."""
     return lines.filter(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
@@ -20,10 +26,15 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return parse_pages(spark.read.text(path))
 
 
+def stream_lines(spark: SparkSession, path: str, files_per_trigger: int = 200) -> DataFrame:
+    """Landed pages as a stream of their texts. ``files_per_trigger`` bounds each batch; pages beyond it wait for the next
+    one, none is dropped."""
+    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+
+
 def stream_pages(spark: SparkSession, path: str, files_per_trigger: int = 200) -> DataFrame:
-    """The same as a stream. ``files_per_trigger`` bounds each batch; pages beyond
-    it wait for the next one, none is dropped."""
-    return parse_pages(spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path))
+    """The same as a stream."""
+    return parse_pages(stream_lines(spark, path, files_per_trigger))
 
 
 def decode_envelope(pages: DataFrame, payload: Column) -> DataFrame:
@@ -67,15 +78,33 @@ def page_items(pages: DataFrame, v: str = "v") -> DataFrame:
         *keep, (F.col("pos") + 1).alias("item_pos"), "item")
 
 
+def page_item_texts(lines: DataFrame) -> DataFrame:
+    """One row per item of every page of ``value``, the item as its JSON text, in one pass over the page; a page that is no
+    JSON is one row without an item, ``readable`` false, with its text in ``page``."""
+    parsed = lines.filter(F.trim("value") != "").select("value", F.from_json(
+        "value", _PAGE, {**_STRICT, "columnNameOfCorruptRecord": "_bad"}).alias("p"))
+    # The typed parse also objects to JSON that is no object; only the full parse tells those from broken text.
+    readable = F.col("p._bad").isNull() | F.try_parse_json("value").isNotNull()
+    payload = F.from_json("p.payload", _PAYLOAD, _STRICT)
+    head = parsed.select("value", "p", readable.alias("readable"), payload.alias("d"))
+    listed = F.coalesce(*[F.when(F.col(f"d.{k}").startswith("["), F.col(f"d.{k}")) for k in LIST_KEYS])
+    cut = head.select(
+        F.col("p.runId").alias("run_id"), F.col("p.batchId").try_cast("long").alias("batch_id"), F.col("p.fromDate").alias("from_date"),
+        F.col("p.sourcePageSeq").try_cast("long").alias("source_page_seq"), "readable", F.when(~F.col("readable"), F.col("value")).alias("page"),
+        F.when(F.col("readable"), F.from_json(listed, "array<string>", _STRICT)).otherwise(F.array(F.lit(None).cast("string"))).alias("texts"))
+    return cut.select("run_id", "batch_id", "from_date", "source_page_seq", "readable", "page", F.posexplode("texts").alias("pos", "item")).withColumn(
+        "item_pos", F.col("pos") + 1).drop("pos")
+
+
 def quarantine(lines: DataFrame, raw: str = "value") -> DataFrame:
     """Lines that are no JSON, with a reason."""
     return lines.filter(F.try_parse_json(F.col(raw)).isNull()).select(
-        F.col(raw).alias("raw"), F.lit("unparseable page").alias("problem"))
+        F.col(raw).alias("raw"), F.lit(UNPARSEABLE).alias("problem"))
 
 
 def window_scan(items: DataFrame, day: Column, start: str | None, end: str | None) -> DataFrame:
     """Items of an inclusive day range; an open end is unbounded. A plain range on ``day``: where the table is
-    partitioned by it, partitions outside are never listed."""
+    partitioned by it (``stores.day_log``), partitions outside are never listed."""
     if start:
         items = items.filter(day >= F.lit(start).cast("date"))
     if end:

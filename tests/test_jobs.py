@@ -86,11 +86,12 @@ def _land(spark, rows, schema, path):
 
 def test_held_and_late_deliveries_are_released_by_later_runs(spark):
     path, root, check_at = (scratch_path(spark, n) for n in ("in", "release", "checkpoint"))
-    schema = "gtin string, created_at timestamp_ntz"
+    schema, hours = "gtin string, created_at timestamp_ntz", []
     at = lambda day, hour=0: __import__("datetime").datetime(2026, 1, day, hour)
 
     def run(now, rows):
         out = jobs.release_run(_land(spark, rows, schema, path), 6, now, root, check_at)
+        hours.append(sorted(files.folders(spark, f"{root}/waiting", "due_hour=")))
         return sorted(r["gtin"] for r in spark.read.parquet(out).collect()) if rows is not None else None
 
     assert run("2026-01-01 06:00:00", [("a", at(1)), ("b", at(1, 1)), ("c", at(20))]) == ["a"]
@@ -99,6 +100,30 @@ def test_held_and_late_deliveries_are_released_by_later_runs(spark):
     assert run("2026-01-10 00:00:00", []) == ["a", "b", "d", "e"]
     assert run("2026-02-10 00:00:00", []) == ["a", "b", "c", "d", "e"]
     assert run("2026-02-10 00:00:00", []) == ["a", "b", "c", "d", "e"]
+    # Delivered hours are gone; the running hour stays until it is over.
+    assert hours == [["2026010106", "2026010107", "2026012006"], ["2026010306", "2026012006"], ["2026012006"], [], []]
+
+
+def test_a_release_that_is_lost_delivers_once(spark, monkeypatch):
+    import datetime as dt
+
+    path, root, check_at = (scratch_path(spark, n) for n in ("in", "release", "checkpoint"))
+    stream = _land(spark, [("a", dt.datetime(2026, 1, 1)), ("b", dt.datetime(2026, 1, 1, 2))], "gtin string, created_at timestamp_ntz", path)
+    read = lambda: sorted(r["gtin"] for r in spark.read.parquet(f"{root}/delivered").collect())
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    for name in ("replace_text", "delete"):  # before its state is written, and before its folders go
+        with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost"):
+            m.setattr(files, name, fails)
+            jobs.release_run(stream, 1, "2026-01-01 02:30:00", root, check_at)
+        assert read() == ["a"]
+    for _ in range(2):
+        jobs.release_run(stream, 1, "2026-01-01 02:40:00", root, check_at)
+        assert read() == ["a"]
+    jobs.release_run(stream, 1, "2026-01-01 03:00:00", root, check_at)
+    assert read() == ["a", "b"]
 
 
 def test_late_keys_and_polls_count_and_restarts_repeat_nothing(spark):
@@ -109,7 +134,7 @@ def test_late_keys_and_polls_count_and_restarts_repeat_nothing(spark):
     for rows in ([("k1", day(25)), ("k2", day(25)), ("k1", day(26))], [("k1", day(1)), ("k3", day(3))], []):
         stream = _land(spark, rows, "idempotency_key string, delivered_at timestamp", path)
         jobs.first_deliveries(stream, out, at).awaitTermination()
-    got = sorted((r["idempotency_key"], r["delivered_at"].day) for r in spark.read.parquet(out).collect())
+    got = sorted((r["idempotency_key"], r["delivered_at"].day) for r in jobs.key_table(spark, out).read().collect())
     assert got == [("k1", 25), ("k2", 25), ("k3", 3)]
 
     path, out, at = (scratch_path(spark, n) for n in ("polls", "windows", "checkpoint"))
@@ -119,16 +144,23 @@ def test_late_keys_and_polls_count_and_restarts_repeat_nothing(spark):
     assert got == [("r", 1, 1, 4), ("r", 5, 2, 9), ("s", 9, 1, 1)]
 
 
-def test_unreadable_pages_keep_their_text(spark, tmp_path):
+def test_pages_become_verdicts_and_quarantine_in_one_pass(spark, tmp_path):
     landing = tmp_path / "pages"
     landing.mkdir()
-    (landing / "a").write_text('{"runId":"r","batchId":1,"payload":{"items":[{"gtin":"1"},{"gtin":"2"}]}}\n{"runId": broken\n')
-    for n in range(2):  # the second pass restarts on the same checkpoints
-        pages = feed.stream_pages(spark, str(landing))
-        jobs.write_verdicts(pages, str(tmp_path / "v"), str(tmp_path / "cv")).awaitTermination()
-        jobs.write_quarantine(pages, str(tmp_path / "q"), str(tmp_path / "cq")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "v")).count() == 2
-    assert [r["raw"] for r in spark.read.parquet(str(tmp_path / "q")).collect()] == ['{"runId": broken']
+    pages = ['{"runId":"r","batchId":1,"payload":{"items":[{"gtin":"1"},{"gtin": 2.50, "name":"a\\"b]"}]}}', '{"runId": broken',
+             '{"runId":7,"batchId":"12","fromDate":null,"payload":{"items":{},"data":[],"products":[{"gtin":"3"}]}}', "", "  ",
+             '{"payload":{"items":[],"data":[{"gtin":"4"}]}}', '{"runId":"x"}', "[1]", "5", "{'runId':'q'}",
+             '{"runId":"y","payload":{"data":[5,null,{"gtin":"6"}],"pageInfo":{"a":[1]}},"extra":[{}]}', '{"payload":{"items":[{"gtin":"7"}]}} x']
+    (landing / "a").write_text("\n".join(pages) + "\n")
+    for n in range(2):  # the second pass restarts on the same checkpoint
+        jobs.write_pages(feed.stream_lines(spark, str(landing)), str(tmp_path / "v"), str(tmp_path / "c")).awaitTermination()
+    got = jobs.read_verdicts(spark, str(tmp_path / "v"))
+    by_variant = validate.validate_variant(feed.page_items(feed.read_pages(spark, str(landing))), jobs.ITEM_KEEP)
+    rows = lambda df: sorted((tuple(r) for r in df.select(*by_variant.columns).collect()), key=repr)
+    assert rows(got) == rows(by_variant) and got.count() == 6
+    assert {r["gtin"] for r in got.collect()} >= {"1", "6", "7"}
+    bad = jobs.read_quarantine(spark, str(tmp_path / "v")).collect()
+    assert sorted(tuple(r) for r in bad) == [('{"runId": broken', "unparseable page"), ("{'runId':'q'}", "unparseable page")]
 
 
 def test_one_odd_price_does_not_end_the_job(spark):

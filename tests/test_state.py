@@ -107,3 +107,32 @@ def test_an_empty_batch_and_null_ids(spark):
     table.add(spark.createDataFrame([(None, at(1), 1, 1, "a"), (None, at(2), 1, 1, "b"), ("", at(1), 1, 1, "c")], SCHEMA), "s", 1)
     assert sorted((r["gtin"], r["validation_status"]) for r in table.read().select("*", F.lit(1)).collect() if r["gtin"] is not None) == [("", "c")]
     assert table.read().filter("gtin IS NULL").first()["validation_status"] == "b"
+
+
+def test_counts_are_compacted_and_close_their_runs(spark):
+    path, root, check = (scratch_path(spark, n) for n in ("in", "counters", "checkpoint"))
+    schema = "run_id string, validation_status string, schema_valid boolean"
+    for n in range(5):
+        rows = [("r1", "Accepted", True), ("r1", "Rejected", False)] + [("r2", "Rejected", True)] * (n == 0) + [("r3", "Accepted", True)] * 2
+        jobs.run_counters(land(spark, rows, path, schema), root, check, 2).awaitTermination()
+    got = sorted(tuple(r) for r in jobs.newest_counts(spark, root, 2).collect())
+    assert got == [("r1", 10, 5, 0, 5), ("r2", 1, 0, 1, 0), ("r3", 10, 10, 0, 0)]
+    assert all(len(p) <= 3 for p in jobs.counter_table(spark, root, 2).version()["buckets"].values())
+    runs = spark.createDataFrame([("r1", "RUNNING", True, 10), ("r2", "RUNNING", True, 2), ("r3", "RUNNING", False, 10), ("r4", "FAILED", True, 0), ("r5", "RUNNING", True, 0)],
+                                 "run_id string, status string, ingestion_completed boolean, items_fetched long").withColumn("end_time", F.lit(None).cast("timestamp_ntz"))
+    done = jobs.finalize(spark, root, runs, F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"), 2).collect()
+    assert {r["run_id"]: (r["status"], r["validated_count"], r["end_time"] is not None) for r in done} == {
+        "r1": ("SUCCESS", 10, True), "r2": ("RUNNING", 1, False), "r3": ("RUNNING", 10, False), "r4": ("FAILED", 0, False), "r5": ("SUCCESS", 0, True)}
+
+
+def test_a_batch_of_keys_reads_its_own_buckets(spark, monkeypatch):
+    path, root, check = (scratch_path(spark, n) for n in ("keys", "delivered", "checkpoint"))
+    schema = "idempotency_key string, delivered_at timestamp"
+    at_ = lambda n: dt.datetime(2026, 1, 1, tzinfo=dt.UTC) + dt.timedelta(minutes=n)
+    jobs.first_deliveries(land(spark, [(f"k{i}", at_(i)) for i in range(2000)], path, schema), root, check, 32).awaitTermination()
+    read, opened = buckets.BucketTable._rows, []
+    monkeypatch.setattr(buckets.BucketTable, "_rows", lambda t, v, pieces: (opened.extend(p["path"].split("=")[-1] for p in pieces), read(t, v, pieces))[1])
+    jobs.first_deliveries(land(spark, [("k7", at_(-9)), ("new", at_(1)), ("new", at_(0))], path, schema), root, check, 32).awaitTermination()
+    assert 1 <= len(set(opened)) <= 2
+    rows = {r["idempotency_key"]: r["delivered_at"] for r in jobs.key_table(spark, root, 32).read().collect()}
+    assert len(rows) == 2001 and rows["k7"].minute == 7 and rows["new"].minute == 0
