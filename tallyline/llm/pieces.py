@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 from struct import pack
@@ -21,11 +22,14 @@ _UNSAFE = re.compile(rf"{_BLANK} | {_BLANK}")
 
 def _plain(text: str) -> bool:
     """No space of the text is next to white space."""
-    if _RARE.search(text):
+    if not text.replace("\n", "").isprintable() and _RARE.search(text):
         return not _UNSAFE.search(text)
     return "  " not in text and " \n" not in text and "\n " not in text
 
 
+# Marks that the patterns take together with nothing but other marks; an apostrophe may begin a short form.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 
 
@@ -37,25 +41,41 @@ class PieceCache(dict):
         super().__init__()
         self.encode, self.most = encode, most
         self.old: dict[str, bytes] = {}
-        self.marks = {m: self.packed(m) for m in ".,;:!?"}
+        self.runs: dict[str, bytes] = {"\n": self.packed("\n")}
 
     def packed(self, text: str) -> bytes:
         ids = self.encode(text)
         return pack(f"<{len(ids)}I", *ids)
 
+    def _run(self, text: str) -> bytes:
+        """A line feed before a letter, or marks behind one: always a pattern match of its own."""
+        ids = self.runs.get(text)
+        if ids is None:
+            ids = self.packed(text)
+            if len(text) < 16 and len(self.runs) < 10_000:
+                self.runs[text] = ids
+        return ids
+
+    def word(self, letters: str) -> bytes:
+        """Ids of letters behind a space."""
+        return self.packed(" " + letters)
+
     def _made(self, piece: str) -> bytes:
-        """Lines of a piece, and a mark behind a letter at its end, are pattern matches of their own."""
+        """Lines of a piece, and marks behind a letter at its end, are pattern matches of their own."""
         lines = piece.split("\n")
         if lines[0] and len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
             return self[lines[0]] + b"".join(self["\n" + x] for x in lines[1:])
-        if len(piece) > 1 and piece[-1] in self.marks and piece[-2].isalpha():
-            return self[piece[:-1]] + self.marks[piece[-1]]
+        word = piece.rstrip(MARKS)
+        if len(word) < len(piece) and word[-1:].isalpha():
+            return self[word] + self._run(piece[len(word):])
+        if piece[:1] == "\n" and piece[1:].isalpha():
+            return self._run("\n") + self.packed(piece[1:])
         return self.packed(piece if piece[:1] == "\n" else " " + piece)
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = self._made(piece)
+            ids = self.word(piece) if piece.isalpha() else self._made(piece)
         if len(piece) < 64:
             if len(self) >= self.most:
                 self.old = dict(self)
@@ -65,15 +85,21 @@ class PieceCache(dict):
 
     def ids(self, text: str) -> bytes:
         first, *rest = text.split(" ") if _plain(text) else _CUT.split(text)
-        return self.packed(first) + b"".join(map(self.__getitem__, rest))
+        word = first.rstrip(MARKS)
+        if word.isalpha():
+            head = self.packed(word) + (self._run(first[len(word):]) if word is not first else b"")
+        else:
+            head = self.packed(first)
+        return head + b"".join(map(self.__getitem__, rest))
 
 
 class WholeTexts(PieceCache):
     """Texts that hold the content of an added token are encoded whole, as the library looks for these tokens first."""
 
-    def __init__(self, encode: Callable[[str], list[int]], whole: Callable[[str], list[int]], added: list[str]):
+    def __init__(self, encode: Callable[[str], list[int]], whole: Callable[[str], list[int]], added: list[str],
+                 word: Callable[[str], bytes]):
         super().__init__(encode)
-        self.whole, self.added = whole, added
+        self.whole, self.added, self.word = whole, added, word
 
     def ids(self, text: str) -> bytes:
         if any(a in text for a in self.added):
@@ -110,14 +136,21 @@ def json_file_cache(path: str) -> PieceCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
     from tokenizers import Tokenizer
 
-    tokenizer, whole = Tokenizer.from_file(path), Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # the pieces hold no added token
-    merge, visible = tokenizer.model.tokenize, _visible_bytes()
+    whole = Tokenizer.from_file(path)
+    tokenizer = Tokenizer(whole.model)  # the pieces hold no added token
+    tokenizer.pre_tokenizer = whole.pre_tokenizer
+    merge, visible = whole.model.tokenize, {b: chr(c) for b, c in _visible_bytes().items()}
+
+    # Letters are one match of the pattern: only the merges are left to do.
+    def merged(letters: str, space: str) -> list[int]:
+        return [t.id for t in merge(space + (letters if letters.isascii() else letters.encode().decode("latin-1").translate(visible)))]
 
     def encode(text: str) -> list[int]:
-        if text[1:].isalpha() and text[0] == " ":  # one match of the pattern: only the merges are left to do
-            return [t.id for t in merge(text.encode().decode("latin-1").translate(visible))]
-        return tokenizer.encode(text, add_special_tokens=False).ids
+        letters = text[1:] if text[:1] == " " else text
+        return merged(letters, visible[32] * (text is not letters)) if letters.isalpha() else tokenizer.encode(text, add_special_tokens=False).ids
+
+    def word(letters: str) -> bytes:
+        return array("I", merged(letters, visible[32])).tobytes()
 
     added = [t.content for t in whole.get_added_tokens_decoder().values()]
-    return WholeTexts(encode, lambda text: whole.encode(text, add_special_tokens=False).ids, added)
+    return WholeTexts(encode, lambda text: whole.encode(text, add_special_tokens=False).ids, added, word)

@@ -170,7 +170,7 @@ def test_piece_cache_equals_the_library():
     tokenizer.encode_special_tokens = True
     cache = pieces.PieceCache(pieces.json_file_cache(token_files.TOKENIZER).encode, most=50)
     r = random.Random(5)
-    bits = ["a", "b ", " ", "\n", "'s", "'re", " 12", "é", " \n  ", ". ", "word ", "\x1f", "中", "x.", "\n\n", "y,", "'", "\t", "<|endoftext|>"]
+    bits = ["a", "b ", " ", "\n", "'s", "'re", " 12", "é", " \n  ", ". ", "word ", "\x1f", "中", "x.", "\n\n", "y,", "'", "\t", "<|endoftext|>", "%%%", "&&&", "(", "--", "_", "É"]
     for _ in range(3000):
         text = "".join(r.choice(bits) for _ in range(r.randint(0, 25)))
         assert np.frombuffer(cache.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
