@@ -17,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Null ids take part in comparisons as the smallest id.
 NULL_ID = -(2**63)
 
-__all__ = ["NULL_ID", "SPACES", "WORD", "components_in_task", "fresh", "hash01", "materialize", "partitions", "scratch_path", "prepare",
+__all__ = ["NULL_ID", "SPACES", "WORD", "components_in_task", "fresh", "full_address", "hash01", "materialize", "partitions", "scratch_path", "prepare",
            "shared_fs", "table"]
 
 
@@ -37,14 +37,27 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def full_address(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and the store that Spark resolves it to, for code outside of Spark's own readers and writers."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    store = hadoop.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration())
+    return hadoop.Path(path).makeQualified(store, hadoop.Path("/")).toString()
+
+
+# Spark's names of stores that the readers and writers in tasks know by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+
+
 def shared_fs(uri: str):
-    """(file system, path) of a location in the shared store, for the driver and for tasks."""
+    """(file system, path) of a full address in the shared store, for the driver and for tasks."""
     from pyarrow import fs
 
-    if "://" in uri or uri.startswith("file:"):
-        scheme, _, rest = uri.partition(":")
-        return fs.FileSystem.from_uri(f"{scheme}:///{rest.lstrip('/')}" if scheme == "file" else uri)
-    return fs.LocalFileSystem(), uri
+    scheme, colon, rest = uri.partition(":")
+    if not colon:
+        raise ValueError(f"{uri} names no store: resolve it with full_address")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 def components_in_task(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

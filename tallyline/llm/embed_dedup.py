@@ -59,19 +59,25 @@ def _packed(kind: str):
     return run
 
 
-def _cells(centres: np.ndarray, kind: str, margin: float):
-    """Home cell, and all cells to look into, the home among them."""
+def _cells(centres: dict[int, tuple[int, np.ndarray]], kind: str, margin: float):
+    """Home cell, and all cells to look into, the home among them. ``centres`` has, for each size of a vector, its first cell
+    and its centres; vectors of a size that the sample did not meet share a cell."""
+    def looked(size: int, part: pa.RecordBatch) -> pa.RecordBatch:
+        first, own = centres.get(size, (-size, np.zeros((1, 1))))
+        unit = unit_rows(part.column("raw").to_pylist(), kind)
+        near = unit @ own.T if size in centres else np.zeros((len(unit), 1))
+        home = near.argmax(axis=1).astype(np.int32) + np.int32(first)
+        row, cell = np.nonzero(near >= near.max(axis=1, keepdims=True) - margin)
+        ends = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [part.column("id"), part.column("n"), part.column("raw"), pa.array(home), pa.ListArray.from_arrays(ends, (cell + first).astype(np.int32))],
+            ["id", "n", "raw", "home", "cells"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            near = unit_rows(b.column("raw").to_pylist(), kind) @ centres.T
-            home = near.argmax(axis=1).astype(np.int32)
-            row, cell = np.nonzero(near >= near.max(axis=1, keepdims=True) - margin)
-            ends = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("n"), b.column("raw"), pa.array(home), pa.ListArray.from_arrays(ends, cell.astype(np.int32))],
-                ["id", "n", "raw", "home", "cells"])
+            sizes = np.array([len(x) for x in b.column("raw").to_pylist()])
+            for size in np.unique(sizes).tolist():
+                yield looked(size, b.take(pa.array(np.flatnonzero(sizes == size))))
 
     return run
 
@@ -101,8 +107,8 @@ def _compare(kind: str, least: float):
 def link_vectors(vectors: DataFrame, least: float = MIN_COSINE, margin: float = MARGIN) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding).
 
-    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, as do vectors whose length
-    is not the table's most common one (of several, the longest). Rows with a null vec_id link with nothing and have a
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing; others link with vectors of
+    their own length only, each length with centres of its own. Rows with a null vec_id link with nothing and have a
     null component. Repeated rows are vectors of their own that link with each other. An empty table stays empty.
     """
     spark = vectors.sparkSession
@@ -110,24 +116,28 @@ def link_vectors(vectors: DataFrame, least: float = MIN_COSINE, margin: float =
     element = vectors.schema["embedding"].dataType.elementType.simpleString()
     kind = "<f4" if element == "float" else "<f8"
     rows = materialize(vectors.select("vec_id", "embedding").mapInArrow(_packed(kind), "vec_id long, raw binary"), "vectors")
-    lengths = rows.where("raw IS NOT NULL").groupBy(F.octet_length("raw").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    fits = F.coalesce(F.col("vec_id").isNotNull() & (F.octet_length("raw") == (lengths["n"] if lengths else 0)), F.lit(False))
+    fits = F.col("vec_id").isNotNull() & F.col("raw").isNotNull()
     usable = rows.where(fits)
     distinct = materialize(usable.groupBy("raw").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")), "distinct-vectors")
-    count = distinct.count()
-    most = min(SAMPLE, max(1, SAMPLE_BYTES // (lengths["n"] if lengths else 1)))
-    sample = [bytes(r["raw"]) for r in distinct.orderBy(F.xxhash64("id"), "id").limit(most).select("raw").collect()]
+    count, longest = distinct.agg(F.count("*"), F.max(F.octet_length("raw"))).first()
+    most = min(SAMPLE, max(1, SAMPLE_BYTES // (longest or 1)))
+    sample: dict[int, list[bytes]] = {}
+    for r in distinct.orderBy(F.xxhash64("id"), "id").limit(most).select("raw").collect():
+        sample.setdefault(len(r["raw"]), []).append(bytes(r["raw"]))
     links = spark.createDataFrame([], "id long, links long, centre long")
     if sample:
-        cells = min(MAX_CELLS, len(sample), max(1, int(count**0.5 / 2)))
-        centres = fit_centres(unit_rows(sample, kind), cells)
+        centres, first, sampled = {}, 0, sum(map(len, sample.values()))
+        for size, vectors_ in sorted(sample.items()):
+            cells = min(MAX_CELLS, len(vectors_), max(1, int((count * len(vectors_) / sampled)**0.5 / 2)))
+            centres[size] = first, fit_centres(unit_rows(vectors_, kind), cells)
+            first += cells
         held = materialize(distinct.mapInArrow(_cells(centres, kind, margin), "id long, n long, raw binary, home int, cells array<int>"), "vector-cells")
         looking = held.select(F.explode("cells").alias("cell"), (F.col("home") == F.col("cell")).cast("long").alias("own"))
         sizes = materialize(looking.groupBy("cell").agg(
             F.greatest(F.lit(1), F.ceil(F.sum("own") / BLOCK)).cast("int").alias("blocks"),
             F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "cell-sizes")
         dealt = (
-            held.withColumn("cell", F.explode("cells")).join(F.broadcast(sizes), "cell")  # MAX_CELLS rows at most
+            held.withColumn("cell", F.explode("cells")).join(F.broadcast(sizes), "cell")  # a row for each cell: bounded by SAMPLE
             .withColumn("own", F.when(F.col("home") == F.col("cell"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
             .withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), F.col("chunks")).cast("int"))
         )

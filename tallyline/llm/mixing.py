@@ -1,7 +1,7 @@
 """Mixing sources to target weights by weighted sampling without replacement.
 
-Every document draws the exponential key -ln(u) / w (Efraimidis and Spirakis), u from its id and w its quality
-weight. A source that needs t times its size is taken floor(t) times whole (complete epochs); for the rest its
+Every document draws the exponential key -ln(u) / w (Efraimidis and Spirakis), u from its id and its text and w its
+quality weight. A source that needs t times its size is taken floor(t) times whole (complete epochs); for the rest its
 documents, in the order of their keys, are taken until the remaining words are used up. The prefix sums need no
 task that holds a whole source: keys are cut into ranges by approximate quantiles, each range is summed, and only
 inside a range are rows sorted. All that leaves this step is one cut-off per source, so texts are never shuffled.
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import WORD, hash01, materialize, partitions, table
+from tallyline.llm.common import WORD, fresh, hash01, materialize, partitions, table
 
 MAX_EPOCHS = 3
 SEED = "mix-1"
@@ -55,6 +55,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share
             F.least(F.col("shared") * F.col("w"), F.col("cap").cast("double"))).alias("target"))
 
 
+def draw(seed: str) -> F.Column:
+    """The key of a row of (doc_id, text)."""
+    return -F.log(hash01("doc_id", F.md5(F.coalesce("text", F.lit(""))), F.lit(seed))) / quality_weight("text")
+
+
 def _cut_offs(rows: DataFrame, targets: DataFrame, pieces: int) -> DataFrame:
     """Per source the last (key, id) of its fractional epoch, null if none is taken."""
     wanted = targets.select(
@@ -95,24 +100,26 @@ def _cut_offs(rows: DataFrame, targets: DataFrame, pieces: int) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, seed: str = SEED) -> DataFrame:
     """Documents with ``size`` (words), ``source_size``, ``target``, ``epochs`` and ``taken`` (words, repeats counted).
 
-    A null text has no words; a null source is a source of its own, sorted last; a null doc_id sorts first. Rows with
-    equal doc_id and weight draw equal keys and are taken together. Columns of the input that carry the name of a
-    result column are replaced. An empty table gives an empty result; every row of the input is in the result once.
+    A null text has no words; a null source is a source of its own, sorted last; a null doc_id sorts first. Rows that share an
+    id, or have none, draw keys of their own; rows equal in id and text draw equal keys and are taken together. Columns
+    of the input that carry the name of a result column are replaced, all others stay. Texts are read whole, however
+    long. An empty table gives an empty result; every row of the input is in the result once.
     """
     spark = docs.sparkSession
-    made = ["size", "source_size", "target", "epochs", "taken"]
-    base = docs.drop(*made).withColumn("size", words("text")).withColumn(
-        "_mix_key", -F.log(hash01("doc_id", F.lit(seed))) / quality_weight("text"))
-    rows = materialize(base.select("doc_id", "source", "size", F.col("_mix_key").alias("key")), "mix-rows")
+    base = docs.drop("size", "source_size", "target", "epochs", "taken")
+    names = [fresh(base, f"_mix_{n}") for n in ("key", "source", "last_key", "last_id", "early")]
+    key, source, last_key, last_id, early = names
+    base = base.withColumn("size", words("text")).withColumn(key, draw(seed))
+    rows = materialize(base.select("doc_id", "source", "size", F.col(key).alias("key")), "mix-rows")
     totals = materialize(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     targets = materialize(source_targets(totals, weights, share), "mix-targets")
     cut = materialize(_cut_offs(rows, targets, max(16, min(1000, partitions(spark)))), "mix-cuts")
-    out = base.join(cut, F.col("source").eqNullSafe(F.col("s")), "left")
-    early = (F.col("_mix_key") < F.col("last_key")) | ((F.col("_mix_key") == F.col("last_key")) & (
-        F.col("doc_id").isNull() | (F.col("doc_id") <= F.col("last_id"))))
-    return out.withColumn(
-        "taken", (F.col("size") * (F.col("epochs") + F.when(early, 1).otherwise(0))).cast("long")).withColumn(
-        "epochs", F.col("epochs") + F.when(early, 1).otherwise(0)).drop("_mix_key", "s", "last_key", "last_id")
+    cut = cut.withColumnsRenamed({"s": source, "last_key": last_key, "last_id": last_id})
+    out = base.join(cut, F.col("source").eqNullSafe(F.col(source)), "left")
+    before = (F.col(key) < F.col(last_key)) | ((F.col(key) == F.col(last_key)) & (
+        F.col("doc_id").isNull() | (F.col("doc_id") <= F.col(last_id))))
+    out = out.withColumn(early, F.when(before, 1).otherwise(0)).withColumn("epochs", F.col("epochs") + F.col(early))
+    return out.withColumn("taken", (F.col("size") * F.col("epochs")).cast("long")).drop(*names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +129,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':{SEED}'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u,
+    (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, '')) || ':{SEED}'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u,
     coalesce(greatest(0.1, 1.0::DOUBLE - 10.0::DOUBLE * (len(regexp_extract_all(text, '{MARKS}'))::DOUBLE
         / greatest(length(text), 1)::DOUBLE)), 0.1::DOUBLE) AS q FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,

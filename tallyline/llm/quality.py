@@ -1,23 +1,23 @@
 """Quality rules: a document's words are weighed by how much likelier a trusted sample writes them than the raw corpus.
 
-Unigrams and bigrams are hashed into BUCKETS cells each. Two multinomials, one over the trusted documents and one over
+Unigrams and bigrams are hashed into cells, whose number grows with the square root of the corpus (``cells_for``), as
+the number of its frequent words does. Two multinomials, one over the trusted documents and one over
 every document, give each cell the logarithm of its likelihood ratio; the trusted counts are smoothed towards the raw
 corpus by SMOOTH counts a cell, so that a cell the sample hardly reaches says nothing. A document's score is the
 sum over its n-grams, divided by their number (plus PRIOR, which draws very short texts towards 0); it is kept from
-THRESHOLD on. Scoring is a projection of the scan: the weights are a constant of 2 * BUCKETS numbers, whatever the size
-of the corpus, so that no text is exploded or shuffled. Only built-in functions are used.
+THRESHOLD on. The weights are one row with an array, which scoring reads as a scalar subquery: a projection of the scan, in
+which no text is exploded or shuffled and no number passes through the driver's program. Only built-in functions are used.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import SPACES, fresh, materialize, table
 
-BUCKETS = 2**16
+# Cells for n-grams of one kind: LEAST_CELLS, or CELLS times the square root of the number of words if that is more.
+LEAST_CELLS, CELLS = 2**16, 16
 # At most so many trusted documents are read for the target multinomial, those with the smallest id hashes.
 TRUSTED = 20_000
 PRIOR = 16
@@ -37,12 +37,20 @@ def bind(value: F.Column, body) -> F.Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def grams(words: F.Column) -> F.Column:
-    """Cells of the unigrams, then of the bigrams (BUCKETS higher), of a bound word array."""
+def cells_for(chars: int) -> int:
+    """Cells for each kind of n-gram in a corpus of ``chars`` characters, six to a word: a power of two."""
+    cells = LEAST_CELLS
+    while cells < CELLS * (chars / 6) ** 0.5:
+        cells *= 2
+    return cells
+
+
+def grams(words: F.Column, cells: int) -> F.Column:
+    """Cells of the unigrams, then of the bigrams (``cells`` higher), of a bound word array."""
     n = F.size(words)
-    one = F.transform(words, lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int"))
+    one = F.transform(words, lambda x: F.pmod(F.xxhash64(x), F.lit(cells)).cast("int"))
     two = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: (
-        F.pmod(F.xxhash64(F.element_at(words, i), F.element_at(words, i + 1)), F.lit(BUCKETS)) + BUCKETS).cast("int")))
+        F.pmod(F.xxhash64(F.element_at(words, i), F.element_at(words, i + 1)), F.lit(cells)) + cells).cast("int")))
     return F.concat(one, F.coalesce(two, F.array().cast("array<int>")))
 
 
@@ -53,31 +61,25 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def gram_weights(docs: DataFrame, labels: DataFrame) -> list[float]:
-    """Log-likelihood ratio of every cell; the raw counts are over all documents. Without a trusted word all are 0."""
+def gram_weights(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """One row with the log-likelihood ratios of all cells, and the number of cells of a kind; the raw counts are over all
+    documents. Without a trusted word all ratios are 0."""
+    spark = docs.sparkSession
+    cells = cells_for(docs.agg(F.sum(F.char_length("text"))).first()[0] or 0)
     trusted = materialize(trusted_ids(labels).select(F.col("doc_id").alias("trusted")), "trusted")
-    counts = (
-        docs.select("doc_id", bind(word_array("text"), grams).alias("cells"))
+    counts = materialize(
+        docs.select("doc_id", bind(word_array("text"), lambda w: grams(w, cells)).alias("cells"))
         .join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted"), "left")  # at most TRUSTED ids
         .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode("cells").alias("cell"))
-        .groupBy("cell").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()  # 2 * BUCKETS rows at most
-    )
-    raw, target = [0] * (2 * BUCKETS), [0] * (2 * BUCKETS)
-    for r in counts:
-        raw[r["cell"]], target[r["cell"]] = r["raw"], r["target"]
-    weights = [0.0] * (2 * BUCKETS)
-    for lo in (0, BUCKETS):
-        n_raw, n_target = sum(raw[lo:lo + BUCKETS]), sum(target[lo:lo + BUCKETS])
-        if n_target:
-            scale = n_target / n_raw
-            weights[lo:lo + BUCKETS] = [
-                math.log((target[i] + SMOOTH) / (raw[i] * scale + SMOOTH)) for i in range(lo, lo + BUCKETS)]
-    return weights
-
-
-def _constant(numbers: list[float]) -> F.Column:
-    """An array constant; the optimizer evaluates it once from its text."""
-    return F.split(F.lit(",".join(map(repr, numbers))), ",").cast("array<double>")
+        .groupBy("cell").agg(F.count("*").alias("raw"), F.sum("t").alias("target")), "gram-counts")
+    kind = (F.col("cell") >= cells).alias("bigram")
+    totals = counts.groupBy(kind).agg(F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"))
+    ratio = F.log((F.col("target") + SMOOTH) / (F.col("raw") * (F.col("n_target") / F.col("n_raw")) + SMOOTH))
+    counted = counts.withColumn("bigram", kind).join(F.broadcast(totals), "bigram")  # two rows
+    counted = counted.select("cell", F.when(F.col("n_target") > 0, ratio).otherwise(0.0).alias("w"))
+    every = spark.range(2 * cells).select(F.col("id").cast("int").alias("cell")).join(counted, "cell", "left")
+    listed = F.sort_array(F.collect_list(F.struct("cell", F.coalesce("w", F.lit(0.0)).alias("w"))))
+    return materialize(every.agg(F.transform(listed, lambda x: x["w"]).alias("weights")), "gram-weights"), cells
 
 
 def _repeated_words(hashes: F.Column) -> F.Column:
@@ -98,9 +100,8 @@ def _repeated_words(hashes: F.Column) -> F.Column:
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(bind(pairs, covered))
 
 
-def judgement(text: str, weights: list[float], threshold: float) -> F.Column:
-    """All of RESULT as one struct."""
-    table_of = _constant(weights)
+def judgement(text: str, table_of: F.Column, cells: int, threshold: float) -> F.Column:
+    """All of RESULT as one struct; ``table_of`` is a bound array of weights."""
     lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
 
     def windows(w):
@@ -115,7 +116,7 @@ def judgement(text: str, weights: list[float], threshold: float) -> F.Column:
 
     def of_words(w):
         return F.struct(F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-                        bind(windows(w), _repeated_words).cast("long").alias("n_repeat_words"), bind(grams(w), ratio).alias("llr"))
+                        bind(windows(w), _repeated_words).cast("long").alias("n_repeat_words"), bind(grams(w, cells), ratio).alias("llr"))
 
     def verdict(f):
         failed = (f["n_words"] < 10) | (100 * f["n_repeat_words"] > 20 * f["n_words"])
@@ -129,7 +130,7 @@ def judgement(text: str, weights: list[float], threshold: float) -> F.Column:
     return bind(bind(word_array(text), of_words), verdict)
 
 
-def score(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, weights: DataFrame, cells: int, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the columns of RESULT; input columns of these names are replaced.
 
     A null or empty text has no words and fails the base rules, as does a text of fewer than 10 words or with over 20 %
@@ -137,13 +138,16 @@ def score(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD) -
     """
     base = docs.drop(*RESULT)
     all_of = fresh(base, "_judgement")
-    return base.withColumn(all_of, judgement("text", weights, threshold)).select(
+    # Named once, so the optimizer puts the subquery in the place of the column; the array is never part of a row.
+    held = fresh(base, "_weights")
+    judged = bind(F.col(held), lambda table_of: judgement("text", table_of, cells, threshold))
+    return base.withColumn(held, weights.select("weights").scalar()).withColumn(all_of, judged).select(
         *[F.col(f"`{c}`") for c in base.columns], f"{all_of}.*")
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Fit the weights on all of ``docs`` and a bounded sample of trusted ones, then score every document."""
-    return score(docs, gram_weights(docs, labels), threshold)
+    return score(docs, *gram_weights(docs, labels), threshold)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

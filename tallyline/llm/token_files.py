@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import materialize, partitions, scratch_path, shared_fs, prepare, table
+from tallyline.llm.common import full_address, materialize, partitions, prepare, scratch_path, shared_fs, table
 from tallyline.llm.pieces import json_file_cache
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -115,6 +115,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER,
     """
     spark = docs.sparkSession
     prepare(spark)
+    folder = full_address(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

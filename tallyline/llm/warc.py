@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition,
                                     StringStartsWith, WriterCommitMessage)
 
-from tallyline.llm.common import materialize, prepare, scratch_path, shared_fs, table
+from tallyline.llm.common import full_address, materialize, prepare, scratch_path, shared_fs, table
 
 MIN_PAYLOAD = 100
 DATE = "2024-01-01T00:00:00Z"
@@ -260,12 +260,12 @@ def write_pages(pages: DataFrame, folder: str, min_payload: int = MIN_PAYLOAD) -
         F.coalesce(F.col("page_id").cast("string"), F.lit("null")).alias("page"), "url",
         F.when(F.col("first").isNull() | ~revisits, F.col("payload")).alias("payload"), "digest", "payload_bytes",
         F.when(F.col("first").isNotNull() & revisits, F.col("first").cast("string")).alias("refers_to"),
-    ).write.format("warc").mode("append").save(folder)
+    ).write.format("warc").mode("append").save(full_address(pages.sparkSession, folder))
 
 
 def read_archive(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(full_address(spark, folder))
 
 
 def page_number(column: str) -> F.Column:

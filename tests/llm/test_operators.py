@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.llm import (bpe, components, embed_dedup, line_dedup, mixing, pieces, quality, sharding, simhash_dedup,
+from tallyline.llm import (bpe, common, components, embed_dedup, line_dedup, mixing, pieces, quality, sharding, simhash_dedup,
                            suffix_dedup, token_files, warc)
 from tallyline.session import scratch_path
 
@@ -100,11 +100,24 @@ def test_mix_meets_its_targets(spark, edge):
         groups = collections.Counter()
         for r in got:
             if r["source"] == s:
-                groups[r["doc_id"]] += r["size"]
+                groups[r["doc_id"], r["text"]] += r["size"]
         assert abs(sum(r["taken"] for r in got if r["source"] == s) - target[s]) <= max(groups.values()) / 2 + 1e-6
     assert sorted_rows(got) == sorted_rows(mixing.mix(docs.repartition(5)).collect())
 
 
+def test_mix_of_rows_without_or_with_shared_ids(spark):
+    r = random.Random(8)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, prose(r, r.randint(5, 40)), "en", "ab"[i % 4 == 0], 1) for i in range(900)]
+    names = "s, last_key, last_id, key, c, b, p, rest, epochs, _mix_key, _mix_last_id, w, level".split(", ")
+    docs = spark.createDataFrame(rows, SCHEMA).select("*", *[F.lit(n).alias(n) for n in names])
+    got = mixing.mix(docs).collect()
+    assert len(got) == 900 and all(x[n] == n for x in got for n in names if n != "epochs")
+    for s in "ab":
+        mine = [x for x in got if x["source"] == s]
+        assert abs(sum(x["taken"] for x in mine) - mine[0]["target"]) <= max(x["size"] for x in mine)
+        assert all(len({x["epochs"] for x in mine if x["doc_id"] == i}) == 2 for i in (None, 7))
+
+
 def test_mix_prefers_documents_of_higher_weight(spark):
     rows = [(i, "plain words here" if i % 2 else "### $$$ words", "en", "ab"[i % 2 if i < 200 else 1], 1) for i in range(2000)]
     got = mixing.mix(spark.createDataFrame(rows, SCHEMA)).where("source = 'b'").collect()
@@ -212,6 +225,22 @@ def test_token_files_read_back_whole_and_in_part(spark, edge, empty):
     assert token_files.read_token_files(token_files.write_token_files(empty, scratch_path(spark, "tokens"))).count() == 0
 
 
+def test_a_folder_without_a_scheme_is_in_the_store_that_spark_takes(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    assert common.full_address(spark, "/a/b") == "file:/a/b"
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "hdfs://names:8020")
+    try:
+        assert common.full_address(spark, "/a/b") == "hdfs://names:8020/a/b"
+        assert common.full_address(spark, "file:///a/b").startswith("file:/")
+        assert common.full_address(spark, "s3a://bucket/a") == "s3a://bucket/a"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert common.shared_fs("file:///a/b")[1] == "/a/b"
+    with pytest.raises(ValueError, match="names no store"):
+        common.shared_fs("/a/b")
+
+
 def test_a_token_file_is_read_by_frames_and_checked(tmp_path):
     path = tmp_path / "x"
     docs = [(i, np.arange(i, i + 500, dtype="<u4").tobytes()) for i in range(50)]
@@ -247,7 +276,8 @@ def test_quality_equals_plain_python(spark, edge):
     got = quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
     bad = {i for i, q, t in labels if q == 0 or t == 1}
     trusted = {i for i, q, t in labels if i is not None and q == 1} - bad
-    B = quality.BUCKETS
+    B = quality.cells_for(sum(len(r[1] or "") for r in rows))
+    assert [quality.cells_for(n) for n in (0, 6 * 2**24, 6 * 2**24 + 6, 6 * 2**28)] == [2**16, 2**16, 2**17, 2**18]
 
     def cells(text):
         w = brute.re.findall(brute.WORD, text or "")
@@ -302,6 +332,18 @@ def test_embeddings_against_all_pairs(spark):
     assert embed_dedup.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_vectors_of_each_length_link_among_themselves(spark):
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(40, 6)), rng.normal(size=(50, 9))
+    rows = [*x.tolist(), *y.tolist(), *(x + 0.05 * rng.normal(size=x.shape)).tolist(), *(y + 0.05 * rng.normal(size=y.shape)).tolist(), [1.0], [2.0], [-1.0], [1.0] * 20, [2.0] * 20]
+    got = {r["vec_id"]: tuple(r)[1:3] for r in embed_dedup.link_vectors(spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")).collect()}
+    unit = [np.array(v) / np.linalg.norm(v) for v in rows]
+    linked = np.array([[i != j and len(a) == len(b) and a @ b >= 0.9 for j, b in enumerate(unit)] for i, a in enumerate(unit)])
+    label = brute.components(list(range(len(rows))), linked)
+    assert got == {i: (int(linked[i].sum()), label[i]) for i in range(len(rows))}
+    assert sum(linked[:40].sum(axis=1) > 0) == 40 and got[180] == (1, 180) and got[184] == (1, 183)
+
+
 def test_embedding_recall_at_the_threshold(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 64))
