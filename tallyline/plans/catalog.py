@@ -13,7 +13,9 @@ from tallyline.plans.registry import QUERIES as _QUERIES
 # Day columns by query.
 DAYS = {
     "day": ["verdicts_for_day", "verdict_count_by_day", "verdicts_in_run_window", "latest_completed_run", "run_health",
-            "day_run_totals", "run_outcomes", "continuity_verdict", "publish_dedup", "publish_chunks", "publish_slots"],
+            "day_run_totals", "run_outcomes", "continuity_verdict", "publish_dedup", "publish_chunks", "publish_slots",
+            "verdicts_for_last_day", "verdicts_on_days", "coverage_summary", "coverage_missing", "coverage_missing_sample",
+            "coverage_extra"],
     "from_date": ["resumable_run", "last_cursor_for_day", "latest_terminal_run", "active_run", "next_run_action"],
     "report_date": ["daily_summary"], "run_date": ["backfill_window_scan"], "from": ["run_report"], "to": ["run_report"],
 }

@@ -107,23 +107,14 @@ SELECT o_orderkey AS outbox_id, o_custkey AS batch_id, cast(1 + o_orderkey%12 AS
 FROM {orders}
 """
 
-# Ids on the pages landed in six months, and ids validated by the runs of the two months before.
-FEED_IDS = """
-SELECT DISTINCT gtin FROM {products} WHERE trim(gtin)<>'' AND run_date >= DATE '1995-03-01' AND run_date < DATE '1995-09-01'
-"""
-
-STORED_IDS = """
-SELECT DISTINCT gtin FROM {products} WHERE trim(gtin)<>'' AND run_date < DATE '1995-03-01'
-"""
-
 TEXTS = {
     "products": PRODUCTS, "runs": RUNS, "batch_events": BATCH_EVENTS, "checkpoints": CHECKPOINTS,
-    "snapshots": SNAPSHOTS, "outbox": OUTBOX, "feed_ids": FEED_IDS, "stored_ids": STORED_IDS,
+    "snapshots": SNAPSHOTS, "outbox": OUTBOX,
 }
 NEEDS = {
     "products": ["lineitem", "orders", "part", "supplier", "nation"], "runs": ["products"],
     "batch_events": ["products"], "checkpoints": ["batch_events"], "snapshots": ["events"],
-    "outbox": ["orders"], "feed_ids": ["products"], "stored_ids": ["products"],
+    "outbox": ["orders"],
 }
 
 

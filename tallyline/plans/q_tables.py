@@ -10,8 +10,9 @@ from tallyline.operators import coverage, delivery, monitor, reports, runs, verd
 from tallyline.plans import fixtures
 from tallyline.plans.oracle import query
 from tallyline.plans.registry import register
-from tallyline.plans.stores import store
+from tallyline.plans.stores import path_of, store
 from tallyline.session import scratch_path
+from tallyline.sinks.day_log import read_days
 from tallyline.sources import id_list
 
 REASON_TEXT = "array_join(reasons, '; ') AS reasons"
@@ -39,7 +40,7 @@ def upsert_latest_verdict(spark, sf_dir):
 
 
 def current(spark, sf_dir) -> DataFrame:
-    return verdict_store.latest(store(spark, sf_dir, "verdicts").drop("raw"))
+    return store(spark, sf_dir, "current")
 
 
 @register("verdicts_for_day", query("""
@@ -50,6 +51,21 @@ def verdicts_for_day(spark, sf_dir):
     return rows.orderBy("day", "created_at").select("day", "gtin", "validation_status", F.expr(REASON_TEXT))
 
 
+def day_verdicts(spark, sf_dir, day: str) -> DataFrame:
+    """The current verdicts of one local day, from the table by day."""
+    return read_days(spark, path_of(spark, sf_dir, "current_days"), day, day)
+
+
+@register("verdicts_for_last_day", query("""
+SELECT ist_day AS day, vgtin AS gtin, validation_status, reason_text AS reasons FROM current JOIN run_days USING (run_id)
+WHERE ist_day=(SELECT max(ist_day) FROM current JOIN run_days USING (run_id))""", "current", "run_days"))
+def verdicts_for_last_day(spark, sf_dir):
+    """The day comes from the data, so the scan of the verdicts is pruned when the day is known."""
+    rows = store(spark, sf_dir, "current_days")
+    last = rows.groupBy().agg(F.max("day").alias("last"))
+    return rows.where(F.col("day") == last.scalar()).select("day", "gtin", "validation_status", F.expr(REASON_TEXT))
+
+
 @register("verdict_count_by_day", query("""
 SELECT ist_day AS day, count(*) AS n FROM current JOIN run_days USING (run_id) GROUP BY 1""", "current", "run_days"))
 def verdict_count_by_day(spark, sf_dir):
@@ -66,34 +82,48 @@ def verdicts_in_run_window(spark, sf_dir):
     return rows.select("day", "gtin", "run_id", "validation_status")
 
 
-def _stored_ids(spark, sf_dir):
-    return fixtures.table(spark, sf_dir, "stored_ids")
+@register("verdicts_on_days", query("""
+SELECT r.from_date AS day, count(*) AS n, count(DISTINCT vgtin) AS ids FROM (SELECT DISTINCT from_date FROM runs WHERE d=1) r
+JOIN runs w ON r.from_date BETWEEN w.from_date AND w.to_date JOIN current c ON c.run_id=w.run_id WHERE vgtin<>'' GROUP BY 1""", "current", "runs"))
+def verdicts_on_days(spark, sf_dir):
+    """Counts for the first day of each month, whatever the windows of the runs."""
+    r = store(spark, sf_dir, "runs")
+    days = r.where(F.dayofmonth("from_date") == 1).select(F.col("from_date").alias("day"))
+    rows = verdict_store.in_run_window(current(spark, sf_dir), r, days)
+    return rows.groupBy("day").agg(F.count("*").alias("n"), F.countDistinct("gtin").alias("ids"))
+
 
+def _page_items(spark, sf_dir) -> DataFrame:
+    """Ids decoded from the landed pages, with the start of the run that fetched them."""
+    started = store(spark, sf_dir, "runs").select("run_id", F.col("start_time").alias("started"))
+    return store(spark, sf_dir, "page_ids").join(started, "run_id")
 
-def _named_items(spark, sf_dir):
-    return fixtures.table(spark, sf_dir, "products").select(
-        "rid", "run_id", "batch_id", F.nullif(F.trim("gtin"), F.lit("")).alias("gtin"))
 
+def _first_stored(spark, sf_dir) -> DataFrame:
+    return verdict_store.first_stored(*tables(spark, sf_dir, "verdicts", "runs"))
 
-@register("backfill_new_items", query("""
-SELECT rid FROM products WHERE trim(gtin)='' OR gtin NOT IN (SELECT gtin FROM stored_ids)""", "products", "stored_ids"))
+
+_KNOWN = """(SELECT p.run_id, p.batch_id, trim(p.gtin) AS gtin, CAST(row_number() OVER (PARTITION BY p.run_id, p.batch_id
+  ORDER BY p.item_pos) AS INT) AS item_pos, coalesce(trim(p.gtin)<>'' AND f.stored_at < r.start_time, false) AS known
+  FROM products p JOIN runs r USING (run_id) LEFT JOIN (SELECT vgtin, min(start_time) AS stored_at FROM verdicts JOIN runs USING (run_id)
+  WHERE trim(vgtin)<>'' GROUP BY 1) f ON f.vgtin=trim(p.gtin))"""
+
+
+@register("backfill_new_items", query(f"SELECT run_id, batch_id, item_pos FROM {_KNOWN} WHERE NOT known", "products", "runs", "verdicts"))
 def backfill_new_items(spark, sf_dir):
-    return verdict_store.new_items(_named_items(spark, sf_dir), _stored_ids(spark, sf_dir)).select("rid")
+    return verdict_store.new_items(_page_items(spark, sf_dir), _first_stored(spark, sf_dir)).select("run_id", "batch_id", "item_pos")
 
 
-@register("backfill_totals", query("""
-SELECT run_id, count(DISTINCT batch_id) AS total_pages, count(*) AS total_items,
-  count(*) FILTER (WHERE trim(p.gtin)='' OR s.gtin IS NULL) AS total_enqueued,
-  count(*) FILTER (WHERE trim(p.gtin)<>'' AND s.gtin IS NOT NULL) AS total_skipped
-FROM products p LEFT JOIN stored_ids s ON p.gtin=s.gtin GROUP BY run_id""", "products", "stored_ids"))
+@register("backfill_totals", query(f"""
+SELECT run_id, count(DISTINCT batch_id) AS total_pages, count(*) AS total_items, count(*) FILTER (WHERE NOT known) AS total_enqueued,
+  count(*) FILTER (WHERE known) AS total_skipped FROM {_KNOWN} GROUP BY run_id""", "products", "runs", "verdicts"))
 def backfill_totals(spark, sf_dir):
-    return verdict_store.backfill_totals(_named_items(spark, sf_dir), _stored_ids(spark, sf_dir))
+    return verdict_store.backfill_totals(_page_items(spark, sf_dir), _first_stored(spark, sf_dir))
 
 
-@register("existing_ids", query("""
-SELECT DISTINCT f.gtin FROM feed_ids f WHERE f.gtin IN (SELECT vgtin FROM verdicts)""", "feed_ids", "verdicts"))
+@register("existing_ids", query(f"SELECT DISTINCT run_id, gtin FROM {_KNOWN} WHERE known", "products", "runs", "verdicts"))
 def existing_ids(spark, sf_dir):
-    return verdict_store.existing_ids(fixtures.table(spark, sf_dir, "feed_ids"), store(spark, sf_dir, "verdicts"))
+    return verdict_store.existing_ids(_page_items(spark, sf_dir), _first_stored(spark, sf_dir))
 
 
 # ---- runs
@@ -365,34 +395,42 @@ def scan_mode_compare(spark, sf_dir):
 
 # ---- coverage
 
-def _pairs(spark, sf_dir):
-    return coverage.compare_ids(fixtures.table(spark, sf_dir, "feed_ids"), _stored_ids(spark, sf_dir))
+def _pairs(spark, sf_dir) -> DataFrame:
+    """Ids on the landed pages of each day, and ids whose current verdict a run of the local day has written."""
+    return coverage.compare_ids(store(spark, sf_dir, "page_ids"), store(spark, sf_dir, "current_days"))
 
 
-_PAIRS = "(SELECT f.gtin AS f, s.gtin AS s FROM feed_ids f FULL OUTER JOIN stored_ids s ON f.gtin=s.gtin)"
+_PAIRS = """(SELECT day, gtin, max(f) AS f, max(s) AS s FROM (
+  SELECT run_date AS day, trim(gtin) AS gtin, 1 AS f, 0 AS s FROM products WHERE trim(gtin)<>'' UNION ALL
+  SELECT ist_day, vgtin, 0, 1 FROM current JOIN run_days USING (run_id) WHERE trim(vgtin)<>'') GROUP BY 1, 2)"""
 
 
 @register("coverage_summary", query(f"""
-SELECT *, round(stored_ids*100.0/feed_ids,2) AS coverage_pct, CASE WHEN missing>0 THEN 'missing '||missing
-  ELSE '100% coverage' END AS verdict FROM (SELECT count(f) AS feed_ids, count(s) AS stored_ids,
-  count(*) FILTER (WHERE s IS NULL) AS missing, count(*) FILTER (WHERE f IS NULL) AS extra FROM {_PAIRS})""",
-                                    "feed_ids", "stored_ids"))
+SELECT *, CASE WHEN feed_ids>0 THEN round(stored_ids*100.0/feed_ids,2) ELSE 0.0 END AS coverage_pct,
+  CASE WHEN feed_ids=0 AND ingested>0 THEN 'no feed data, stored '||round(stored_ids*100.0/ingested,1)||'% of ingested'
+    WHEN feed_ids=0 THEN 'no feed data' WHEN missing>0 THEN 'missing '||missing ELSE '100% coverage' END AS verdict
+FROM (SELECT coalesce(c.day, i.day) AS day, coalesce(feed_ids,0) AS feed_ids, coalesce(stored_ids,0) AS stored_ids,
+  coalesce(missing,0) AS missing, coalesce(extra,0) AS extra, coalesce(ingested,0) AS ingested FROM (SELECT day, count(*) FILTER (WHERE f=1)
+  AS feed_ids, count(*) FILTER (WHERE s=1) AS stored_ids, count(*) FILTER (WHERE s=0) AS missing, count(*) FILTER (WHERE f=0) AS extra
+  FROM {_PAIRS} GROUP BY 1) c FULL OUTER JOIN (SELECT ist_day AS day, CAST(sum(items_fetched) AS BIGINT) AS ingested FROM run_days
+  GROUP BY 1) i ON c.day=i.day)""", "products", "current", "run_days"))
 def coverage_summary(spark, sf_dir):
-    return coverage.summary(_pairs(spark, sf_dir))
+    runs_of_day = store(spark, sf_dir, "runs").withColumn("day", dates.local_day(F.col("start_time")))
+    return coverage.summary(_pairs(spark, sf_dir), runs_of_day)
 
 
-@register("coverage_missing", query(f"SELECT f AS gtin FROM {_PAIRS} WHERE s IS NULL", "feed_ids", "stored_ids"))
+@register("coverage_missing", query(f"SELECT day, gtin FROM {_PAIRS} WHERE s=0", "products", "current", "run_days"))
 def coverage_missing(spark, sf_dir):
     return coverage.missing(_pairs(spark, sf_dir))
 
 
-@register("coverage_missing_sample", query(f"SELECT f AS gtin FROM {_PAIRS} WHERE s IS NULL ORDER BY f LIMIT 10",
-                                           "feed_ids", "stored_ids"))
+@register("coverage_missing_sample", query(f"""SELECT day, gtin FROM {_PAIRS} WHERE s=0
+QUALIFY row_number() OVER (PARTITION BY day ORDER BY gtin)<=10""", "products", "current", "run_days"))
 def coverage_missing_sample(spark, sf_dir):
-    return coverage.missing(_pairs(spark, sf_dir)).orderBy("gtin").limit(10)
+    return coverage.missing_sample(_pairs(spark, sf_dir))
 
 
-@register("coverage_extra", query(f"SELECT s AS gtin FROM {_PAIRS} WHERE f IS NULL", "feed_ids", "stored_ids"))
+@register("coverage_extra", query(f"SELECT day, gtin FROM {_PAIRS} WHERE f=0", "products", "current", "run_days"))
 def coverage_extra(spark, sf_dir):
     return coverage.extra(_pairs(spark, sf_dir))
 
@@ -500,15 +538,19 @@ def idempotency_keys(spark, sf_dir):
     return _keys(spark, sf_dir).select("rid", "idempotency_key")
 
 
-@register("idempotency_insert", query("""
+_RUN_KEYS = """(SELECT v.*, sha256(vgtin||'|'||validation_status) AS idempotency_key FROM verdicts v JOIN runs USING (run_id)
+  WHERE status{} 'SUCCESS')"""
+
+
+@register("idempotency_insert", query(f"""
 SELECT idempotency_key, run_id, batch_id FROM (SELECT *, row_number() OVER (PARTITION BY idempotency_key
-  ORDER BY created_at, batch_id, item_pos) AS rn FROM (SELECT *, sha256(vgtin||'|'||validation_status) AS idempotency_key
-  FROM verdicts)) WHERE rn=1 AND idempotency_key NOT IN (SELECT sha256(gtin||'|Accepted') FROM stored_ids)""",
-                                      "verdicts", "stored_ids"))
+  ORDER BY created_at, batch_id, item_pos) AS rn FROM {_RUN_KEYS.format('<>')}) WHERE rn=1
+  AND idempotency_key NOT IN (SELECT idempotency_key FROM {_RUN_KEYS.format('=')})""", "verdicts", "runs"))
 def idempotency_insert(spark, sf_dir):
-    known = _stored_ids(spark, sf_dir).select(
-        delivery.idempotency_key(F.col("gtin"), F.lit("Accepted")).alias("idempotency_key"))
-    return delivery.insert_keys(known, _keys(spark, sf_dir)).select("idempotency_key", "run_id", "batch_id")
+    """Keys that the runs still to be delivered add to those of the runs that succeeded."""
+    keys = _keys(spark, sf_dir).join(store(spark, sf_dir, "runs").select("run_id", "status"), "run_id")
+    known, arrived = keys.where("status = 'SUCCESS'"), keys.where("status <> 'SUCCESS'")
+    return delivery.insert_keys(known, arrived).select("idempotency_key", "run_id", "batch_id")
 
 
 # ---- monitoring

@@ -11,8 +11,9 @@ from tallyline.operators import normalize, reports, rules, validate
 from tallyline.plans import fixtures, oracle
 from tallyline.plans.oracle import query
 from tallyline.plans.registry import register
-from tallyline.plans.stores import store
+from tallyline.plans.stores import path_of, store
 from tallyline.session import scratch_path
+from tallyline.sinks.day_log import read_days
 from tallyline.sources import feed, synthetic
 
 
@@ -207,5 +208,5 @@ def quarantine(spark, sf_dir):
 SELECT run_date, count(*) AS n_items, count(DISTINCT batch_id) AS n_pages FROM products
 WHERE run_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' GROUP BY run_date""", "products"))
 def backfill_window_scan(spark, sf_dir):
-    rows = feed.window_scan(fixtures.items(spark, sf_dir), F.col("run_date"), "1996-01-01", "1999-12-31")
+    rows = read_days(spark, path_of(spark, sf_dir, "item_days"), "1996-01-01", "1999-12-31", "run_date")
     return rows.groupBy("run_date").agg(F.count("*").alias("n_items"), F.countDistinct("batch_id").alias("n_pages"))

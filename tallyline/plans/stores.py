@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.operators import reports, validate
+from tallyline.operators import reports, validate, verdict_store
 from tallyline.plans import fixtures
 from tallyline.session import scratch_path
+from tallyline.sinks.day_log import write_days
+from tallyline.sources import feed
 
 _paths: dict[tuple[str, str, str], str] = {}
 
@@ -22,16 +24,38 @@ def _build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return validate.validate_json(fixtures.items(spark, sf_dir), [*fixtures.ITEM_KEYS, "raw"])
     if name == "runs":
         return reports.with_counters(fixtures.table(spark, sf_dir, "runs"), store(spark, sf_dir, "verdicts"))
+    if name == "landed_pages":
+        return fixtures.landed_pages(spark, sf_dir).select("value")
+    if name == "page_ids":
+        return feed.page_ids(store(spark, sf_dir, "landed_pages"))
+    if name == "current":
+        return verdict_store.latest(store(spark, sf_dir, "verdicts").drop("raw"))
+    if name == "current_days":
+        return verdict_store.with_run_day(store(spark, sf_dir, "current"), store(spark, sf_dir, "runs"))
+    if name == "item_days":
+        return fixtures.items(spark, sf_dir)
     if name == "checkpoints":
         text = fixtures.TEXTS["checkpoints"]
         return spark.sql(text, batch_events=store(spark, sf_dir, "batch_events"))
     return fixtures.table(spark, sf_dir, name)
 
 
-def store(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Tables partitioned by a day: the local day of the run, the day of the feed.
+BY_DAY = {"current_days": "day", "item_days": "run_date"}
+
+
+def path_of(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where a stored table is; written on first use."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _paths:
         path = scratch_path(spark, name)
-        _build(spark, sf_dir, name).write.parquet(path)
+        if name in BY_DAY:
+            write_days(_build(spark, sf_dir, name), path, BY_DAY[name])
+        else:
+            _build(spark, sf_dir, name).write.parquet(path)
         _paths[key] = path
-    return spark.read.parquet(_paths[key])
+    return _paths[key]
+
+
+def store(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(path_of(spark, sf_dir, name))

@@ -102,11 +102,15 @@ def quarantine(lines: DataFrame, raw: str = "value") -> DataFrame:
         F.col(raw).alias("raw"), F.lit(UNPARSEABLE).alias("problem"))
 
 
-def window_scan(items: DataFrame, day: Column, start: str | None, end: str | None) -> DataFrame:
-    """Items of an inclusive day range; an open end is unbounded. A plain range on ``day``: where the table is
-    partitioned by it (``stores.day_log``), partitions outside are never listed."""
-    if start:
-        items = items.filter(day >= F.lit(start).cast("date"))
-    if end:
-        items = items.filter(day <= F.lit(end).cast("date"))
-    return items
+# Keys that may hold the id of an item, in order of preference.
+ID_KEYS = ["gtin", "GTIN", "GTIN_number"]
+
+
+def page_ids(lines: DataFrame) -> DataFrame:
+    """(run_id, batch_id, day, item_pos, gtin) of every item of the readable pages of ``value``; an item without an id has
+    a null ``gtin``."""
+    v = F.try_parse_json("item")
+    found = js.js_string(js.js_nullish(*[js.js_get(v, f"$.{k}") for k in ID_KEYS]))
+    return page_item_texts(lines).where("readable").select(
+        "run_id", "batch_id", F.col("from_date").try_cast("date").alias("day"), "item_pos",
+        F.nullif(js.js_trim(found), F.lit("")).alias("gtin"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.operators import coverage, monitor, publish, validate, verdict_store
 from tallyline.operators.ordering import with_position
 from tallyline.plans import catalog, check
-from tallyline.sinks import files
+from tallyline.sinks import day_log, files
 from tallyline.session import scratch_path
 from tallyline.sources import feed, id_list, synthetic
 from tallyline.streaming import jobs
@@ -183,10 +183,48 @@ def test_publishing_sends_the_current_verdict(spark):
     for day, want in ((None, "Accepted"), ("2026-01-02", "Accepted"), ("2026-01-03", None)):
         got = {r["gtin"]: r["validation_status"] for r in coverage.list_coverage(ids, current, runs, day).collect()}
         assert got == {"1": want, "2": None}
-    assert verdict_store.in_run_window(current, runs, "2026-01-02").count() == 1
+    day = spark.createDataFrame([("2026-01-02",), ("2026-01-02",), ("2026-01-09",)], "day string").select(F.col("day").cast("date").alias("day"))
+    assert verdict_store.in_run_window(current, runs, day).count() == 1
     assert verdict_store.in_run_window(current, runs).count() == 2
 
 
+def test_days_meet_windows_in_bins(spark):
+    import datetime as dt
+
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    spans = [(f"r{i}", day(i * 7), day(i * 7 + (i * 37) % 200 - 3)) for i in range(60)] + [("long", day(-5000), day(5000)), ("none", None, day(3))]
+    runs = spark.createDataFrame(spans, "run_id string, from_date date, to_date date")
+    days = spark.createDataFrame([(day(n),) for n in range(-40, 500, 13)] + [(None,)], "day date")
+    got = sorted(tuple(r) for r in verdict_store.runs_on_days(runs, days).collect())
+    assert got == sorted((r, day(n)) for r, a, z in spans for n in range(-40, 500, 13) if a and a <= day(n) <= z)
+    verdicts = spark.createDataFrame([(r, g) for r, *_ in spans for g in ("1", "")], "run_id string, gtin string")
+    spread = verdict_store.in_run_window(verdicts, runs)
+    assert spread.count() == sum((z - a).days + 1 for _, a, z in spans if a and a <= z)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join")  # the days come after the shuffle
+    assert sorted(tuple(r) for r in verdict_store.in_run_window(verdicts, runs, days).select("run_id", "day").collect()) == got
+
+
+def test_a_day_is_read_and_replaced_alone(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = lambda *x: spark.createDataFrame(x, "day string, n int").withColumn("day", F.col("day").cast("date"))
+    day_log.write_days(rows(("2026-01-01", 1), ("2026-01-02", 2), ("2026-01-02", 3), ("2026-01-03", 4)), path)
+    day_log.write_days(rows(("2026-01-02", 5)), path)
+    one = day_log.read_days(spark, path, "2026-01-02", "2026-01-02")
+    assert "PartitionFilters: [isnotnull(day" in one._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["n"] for r in day_log.read_days(spark, path).collect()) == [1, 4, 5]
+    assert sorted(r["n"] for r in day_log.read_days(spark, path, last="2026-01-02").collect()) == [1, 5]
+    assert [r["n"] for r in one.collect()] == [5] and one.select("_metadata.file_path").distinct().count() == 1
+
+
+@pytest.mark.parametrize("key", ["backfill_window_scan", "verdicts_for_last_day"])
+def test_jobs_for_some_days_prune_partitions(spark, key):
+    df = catalog.QUERIES[key](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(" in plan
+
+
 def test_layout_fills_every_column_through_every_alias(spark):
     import json
 
@@ -213,7 +251,8 @@ def test_layout_fills_every_column_through_every_alias(spark):
 
 @pytest.mark.parametrize("key", ["validate_products", "stream_validate", "stream_monitor", "stream_idempotency",
                                  "delivery_release", "day_run_totals", "run_health", "id_list_coverage", "existing_ids",
-                                 "coverage_missing", "coverage_extra", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
+                                 "coverage_missing", "coverage_missing_sample", "coverage_extra", "backfill_new_items", "idempotency_insert",
+                                 "verdicts_for_last_day", "verdicts_on_days", "verdicts_in_run_window", "backfill_window_scan", "stream_finalize", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
                                  "resumable_run", "coverage_summary", "run_stalls", "monitor_summary", "stream_upsert",
                                  "stream_run_counters", "backfill_totals", "reason_frequency", "outbox_transition"])
 def test_query_matches_sql(spark, key):
