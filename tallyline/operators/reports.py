@@ -65,13 +65,13 @@ def with_counters(runs: DataFrame, verdicts: DataFrame) -> DataFrame:
     return runs.join(counts, "run_id", "left").na.fill(0, ["accepted_count", "rejected_count", "schema_invalid"])
 
 
-def run_results(verdicts: DataFrame) -> DataFrame:
-    """Rows of a run's result file."""
+def run_results(verdicts: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Rows of a run's result file, and the columns ``keep``."""
     yes_no = {c: F.when(F.col(c), "Yes").otherwise("No").alias(c) for c in ("schema_valid", "business_valid")}
     stamp = F.concat(F.regexp_replace(F.col("created_at").cast("string"), " ", "T"), F.lit(".000Z"))
     return verdicts.select("run_id", "gtin", "validation_status", F.array_join("reasons", "; ").alias("reasons"),
                            yes_no["schema_valid"], yes_no["business_valid"],
-                           F.coalesce(stamp, F.lit("")).alias("validated_at"))
+                           F.coalesce(stamp, F.lit("")).alias("validated_at"), *keep)
 
 
 def run_report(runs: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from tallyline.plans.oracle import query
 from tallyline.plans.registry import register
 from tallyline.plans.stores import path_of, store
 from tallyline.session import scratch_path
+from tallyline.sinks import outputs
 from tallyline.sinks.day_log import read_days
 from tallyline.sources import id_list
 
@@ -283,18 +284,59 @@ def run_report(spark, sf_dir):
     return report.withColumns({c: F.col(c).cast("string") for c in ("start_time", "end_time")})
 
 
-@register("daily_summary", query("""
+_SUMMARY = """
 SELECT CAST(start_time AS DATE) AS report_date, count(*) FILTER (WHERE status='RUNNING') AS runs_running,
   count(*) FILTER (WHERE status='SUCCESS') AS runs_success,
   count(*) FILTER (WHERE status IN ('FAILED','PARTIAL_FAILED')) AS runs_failed,
   CAST(sum(items_fetched) AS BIGINT) AS total_items_fetched, CAST(sum(validated_count) AS BIGINT) AS total_validated,
   CAST(sum(accepted_count) AS BIGINT) AS total_accepted, CAST(sum(rejected_count) AS BIGINT) AS total_rejected,
   CAST(sum(delivered_count) AS BIGINT) AS total_delivered,
-  CAST(sum(delivery_failed_count) AS BIGINT) AS total_delivery_failed FROM runs_full GROUP BY 1""", "runs_full"))
+  CAST(sum(delivery_failed_count) AS BIGINT) AS total_delivery_failed FROM runs_full GROUP BY 1"""
+
+
+@register("daily_summary", query(_SUMMARY, "runs_full"))
 def daily_summary(spark, sf_dir):
     return reports.daily_summary(store(spark, sf_dir, "runs"))
 
 
+def _csv_sql(*columns: str) -> str:
+    """A CSV line of text columns, quoted where needed."""
+    field = """CASE WHEN regexp_matches({c}, '[",\n\r]') THEN '"'||replace({c},'"','""')||'"' ELSE {c} END"""
+    return "||','||".join(field.format(c=f"coalesce(CAST({c} AS VARCHAR),'')") for c in columns)
+
+
+_RESULT_FILE = ["gtin", "validation_status", "reasons", "schema_valid", "business_valid", "validated_at"]
+
+
+@register("run_results_file", query(f"""
+SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY validated_at, batch_id, item_pos) AS line_no,
+  {_csv_sql(*_RESULT_FILE)} AS line FROM (SELECT run_id, batch_id, item_pos, vgtin AS gtin, validation_status, reason_text AS reasons,
+  CASE WHEN schema_valid THEN 'Yes' ELSE 'No' END AS schema_valid, CASE WHEN business_valid THEN 'Yes' ELSE 'No' END AS business_valid,
+  strftime(created_at, '%Y-%m-%dT%H:%M:%S.000Z') AS validated_at FROM current)
+UNION ALL SELECT DISTINCT run_id, 0, '{",".join(_RESULT_FILE)}' FROM current""", "current"))
+def run_results_file(spark, sf_dir):
+    """The result file of each run, in the order of validation, read back as it stands."""
+    path = scratch_path(spark, "run-results")
+    rows = reports.run_results(current(spark, sf_dir), ["batch_id", "item_pos"])
+    outputs.write_csv(rows, path, ["run_id"], ["validated_at", "batch_id", "item_pos"], _RESULT_FILE)
+    return outputs.read_lines(spark, path, ["run_id"]).withColumn("line_no", F.col("line_no").cast("long"))
+
+
+_SUMMARY_FILE = ["report_date", "runs_running", "runs_success", "runs_failed", "total_items_fetched", "total_validated", "total_accepted",
+                 "total_rejected", "total_delivered", "total_delivery_failed"]
+
+
+@register("daily_summary_file", query(f"""
+SELECT report_date, line_no, line FROM (SELECT CAST(report_date AS VARCHAR) AS report_date, CAST(unnest([0, 1]) AS BIGINT) AS line_no,
+  unnest(['{",".join(_SUMMARY_FILE)}', {_csv_sql(*_SUMMARY_FILE)}]) AS line FROM ({_SUMMARY}))""", "runs_full"))
+def daily_summary_file(spark, sf_dir):
+    """The summary file of each day, read back as it stands."""
+    path = scratch_path(spark, "daily-summary")
+    rows = reports.daily_summary(store(spark, sf_dir, "runs"))
+    outputs.write_csv(rows.withColumn("day", F.col("report_date")), path, ["day"], ["report_date"], _SUMMARY_FILE)
+    return outputs.read_lines(spark, path, ["day"]).select(F.col("day").alias("report_date"), F.col("line_no").cast("long").alias("line_no"), "line")
+
+
 @register("run_rates", query("""
 SELECT run_id, round(accepted_count*100.0/items_fetched,1) AS accepted_pct,
   round(rejected_count*100.0/items_fetched,1) AS rejected_pct, round(validated_count*100.0/items_fetched,1) AS progress_pct

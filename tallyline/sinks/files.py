@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 # Columns of the daily verdict file.
 VERDICT_FILE = ["GTIN_number", "Status", "Reason", "Date"]
 
-QUOTED = {"header": True, "quoteAll": True, "escape": '"', "nullValue": "", "emptyValue": "",
-          "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-
 
 def verdict_rows(verdicts: DataFrame, day: str) -> DataFrame:
     """The four file columns; ``Date`` is the first ten characters of ``day``."""
@@ -28,9 +25,9 @@ def append_daily_csv(verdicts: DataFrame, path: str, day: str) -> None:
     lines = rows.select(F.col("Date").alias("day"), F.lit(1).alias("n"), F.concat_ws(",", *quoted).alias("value"))
     headers = rows.select(F.col("Date").alias("day")).distinct().select(
         "day", F.lit(0).alias("n"), F.lit(",".join(VERDICT_FILE)).alias("value"))
-    if exists(verdicts.sparkSession, path):
-        begun = verdicts.sparkSession.read.text(path).select(F.col("day").cast("string").alias("day")).distinct()
-        headers = headers.join(begun, "day", "left_anti")
+    begun = [(d,) for d in names(verdicts.sparkSession, path, "day=")]  # a folder for each day
+    if begun:
+        headers = headers.join(verdicts.sparkSession.createDataFrame(begun, "day string"), "day", "left_anti")
     # Days gather into few files; a heavy day is split by size at run time.
     gathered = lines.unionByName(headers).hint("rebalance", F.col("day")).sortWithinPartitions("day", "n")
     gathered.select("day", "value").write.mode("append").partitionBy("day").text(path)
@@ -52,6 +49,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows ``prefix`` in the entries of a folder that begin with it."""
+    fs, hadoop = _place(spark, path)
+    found = [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+    return [n.removeprefix(prefix) for n in found if n.startswith(prefix)]
+
+
 def folders(spark: SparkSession, path: str, prefix: str, suffix: str = "") -> dict[str, int]:
     """Entries of a folder named ``prefix<name>suffix``: bytes by name; none where there is no folder."""
     fs, hadoop = _place(spark, path)
@@ -91,10 +95,6 @@ def write_batch_json(verdicts: DataFrame, path: str, day: str) -> None:
     rows.hint("rebalance", F.col("day")).write.mode("append").partitionBy("day").json(path)
 
 
-def write_layout_csv(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").options(**QUOTED).csv(path)
-
-
 def write_version(df: DataFrame, root: str, version: int) -> str:
     """Write a table as ``root/version=<n>``. Rewriting the same version gives the
     same rows, so a replayed batch does no harm."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.operators import coverage, monitor, publish, validate, verdict_store
 from tallyline.operators.ordering import with_position
 from tallyline.plans import catalog, check
-from tallyline.sinks import day_log, files
+from tallyline.sinks import day_log, files, outputs
 from tallyline.session import scratch_path
 from tallyline.sources import feed, id_list, synthetic
 from tallyline.streaming import jobs
@@ -72,6 +72,21 @@ def test_daily_csv_quotes_everything(spark, tmp_path):
     assert [t.splitlines() for t in text] == [["GTIN_number,Status,Reason,Date", row], [row]]
 
 
+def test_a_group_of_files_is_replaced_whole_and_in_order(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = lambda day, n: spark.range(n).select(F.lit(day).alias("day"), "id", F.concat(F.lit('a,"'), "id").alias("t"), F.lit(None).alias("e")).repartition(5)
+    outputs.write_csv(rows("2026-01-01", 300).unionByName(rows("2026-01-02", 3)), path, ["day"], ["id"], ["id", "t", "e"])
+    outputs.write_csv(rows("2026-01-02", 2), path, ["day"], ["id"], ["id", "t", "e"], always=True)
+    got = [(r["day"], r["line"]) for r in outputs.read_lines(spark, path, ["day"]).orderBy("day", "line_no").collect()]
+    assert got == [("2026-01-01", "id,t,e"), *[("2026-01-01", f'{i},"a,""{i}",') for i in range(300)],
+                   ("2026-01-02", '"id","t","e"'), *[("2026-01-02", f'"{i}","a,""{i}",""') for i in range(2)]]
+    assert (tmp_path / "out" / "_SUCCESS").exists()
+    broken = rows("2026-01-01", 9).withColumn("t", F.when(F.col("id") == 7, F.raise_error("lost")).otherwise("x"))
+    with pytest.raises(Exception, match="lost"):
+        outputs.write_csv(broken, path, ["day"], ["id"], ["id", "t", "e"])
+    assert outputs.read_lines(spark, path, ["day"]).where("day = '2026-01-01'").count() == 301 and not (tmp_path / "out" / "_SUCCESS").exists()
+
+
 def test_id_list_headers_and_duplicates(spark):
     rows = spark.createDataFrame([(" 1 ", "46085"), ("1", "2026-03-09T1"), ("", "46085"), ("2", "")],
                                  ["GTIN Number", "Created at"])
@@ -252,7 +267,8 @@ def test_layout_fills_every_column_through_every_alias(spark):
 @pytest.mark.parametrize("key", ["validate_products", "stream_validate", "stream_monitor", "stream_idempotency",
                                  "delivery_release", "day_run_totals", "run_health", "id_list_coverage", "existing_ids",
                                  "coverage_missing", "coverage_missing_sample", "coverage_extra", "backfill_new_items", "idempotency_insert",
-                                 "verdicts_for_last_day", "verdicts_on_days", "verdicts_in_run_window", "backfill_window_scan", "stream_finalize", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
+                                 "verdicts_for_last_day", "verdicts_on_days", "verdicts_in_run_window", "backfill_window_scan", "stream_finalize", "daily_verdict_csv",
+                                 "publish_layout_file", "run_results_file", "daily_summary_file", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
                                  "resumable_run", "coverage_summary", "run_stalls", "monitor_summary", "stream_upsert",
                                  "stream_run_counters", "backfill_totals", "reason_frequency", "outbox_transition"])
 def test_query_matches_sql(spark, key):
