@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyline.sinks.files import delete, replace_text
+
 
 def csv_field(value: Column, always: bool = False) -> Column:
     """Text of a CSV field, in quotes where it needs them, or always."""
@@ -33,8 +35,11 @@ def write_lines(lines: DataFrame, path: str, groups: list[str]) -> None:
     """Write ``value`` into ``path/<group>=.../``, sorted by all other columns. Ranges of the order go to tasks, so a heavy
     group becomes several files whose names are in order."""
     place = [c for c in lines.columns if c not in (*groups, "value")]
+    spark, marker = lines.sparkSession, f"{path}/_SUCCESS"
+    delete(spark, marker)
     sorted_ = lines.repartitionByRange(*groups, *place).sortWithinPartitions(*groups, *place)
     sorted_.select(*groups, "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*groups).text(path)
+    replace_text(spark, marker, "")
 
 
 def write_csv(rows: DataFrame, path: str, groups: list[str], order: list[str], columns: list[str], always: bool = False) -> None:
