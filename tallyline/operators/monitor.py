@@ -81,11 +81,12 @@ def fetches(series: DataFrame) -> DataFrame:
 
 
 def stalls(series: DataFrame, longer_than: int = STALL_POLLS, *more: Column) -> DataFrame:
-    """Stretches of more than ``longer_than`` polls without progress."""
-    changed = F.col("items_fetched") != F.coalesce("prev_items_fetched", F.lit(0))
-    marked = series.withColumn("_changed", changed.cast("int")).drop("prev_source_total", "prev_items_fetched", "prev_ts")
-    islands = running_sum(marked, ["run_no"], ["ts", "event_id"], F.col("_changed"), "island")
-    flat = islands.filter("_changed = 0").groupBy("run_no", "island").agg(
+    """Stretches of more than ``longer_than`` polls of a RUNNING run without progress. A poll with more items, or in
+    another status, ends a stretch and belongs to none."""
+    moved = (F.col("items_fetched") != F.coalesce("prev_items_fetched", F.lit(0))) | ~F.col("status").eqNullSafe("RUNNING")
+    marked = series.withColumn("_moved", moved.cast("int")).drop("prev_source_total", "prev_items_fetched", "prev_ts")
+    islands = running_sum(marked, ["run_no"], ["ts", "event_id"], F.col("_moved"), "island")
+    flat = islands.filter("_moved = 0").groupBy("run_no", "island").agg(
         F.count("*").alias("polls"), F.min("ts").alias("stalled_from"), F.max("ts").alias("stalled_to"), *more)
     return flat.filter(F.col("polls") > longer_than)
 

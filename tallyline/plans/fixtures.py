@@ -93,8 +93,9 @@ SELECT run_id, source_page_seq, cursor_in, cursor_out FROM (
 
 SNAPSHOTS = """
 SELECT user_id AS run_no, event_id, ts, cast(floor(value) AS bigint) AS source_total,
-  cast(sum(CASE WHEN event_type IN ('click','purchase') THEN 1 ELSE 0 END)
-       OVER (PARTITION BY user_id ORDER BY ts, event_id) AS bigint) AS items_fetched
+  cast(sum(CASE WHEN event_type='purchase' THEN 1 ELSE 0 END)
+       OVER (PARTITION BY user_id ORDER BY ts, event_id) AS bigint) AS items_fetched,
+  CASE WHEN event_type='error' AND event_id%8=0 THEN 'PARTIAL_FAILED' ELSE 'RUNNING' END AS status
 FROM {events}
 """
 

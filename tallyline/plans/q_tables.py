@@ -598,12 +598,8 @@ def idempotency_insert(spark, sf_dir):
 # ---- monitoring
 
 def _polls(spark, sf_dir):
-    series = monitor.running_sum(
-        fixtures.table(spark, sf_dir, "events").select(
-            F.col("user_id").alias("run_no"), "event_id", "ts", F.floor("value").alias("source_total"),
-            F.col("event_type").isin("click", "purchase").cast("long").alias("step")),
-        ["run_no"], ["ts", "event_id"], F.col("step"), "items_fetched").drop("step")
-    return monitor.polls(series)
+    """The poll series with the poll before each, computed once for all that read it."""
+    return store(spark, sf_dir, "polls")
 
 
 @register("source_growth", query("""
@@ -630,15 +626,16 @@ def monitor_fetches(spark, sf_dir):
     return monitor.fetches(_polls(spark, sf_dir)).drop("ts")
 
 
-@register("run_stalls", query("""
-SELECT run_no, count(*) AS polls, min(event_id) AS first_event FROM (SELECT *, CAST(sum(CASE WHEN
-  items_fetched<>coalesce(p_items,0) THEN 1 ELSE 0 END) OVER (PARTITION BY run_no ORDER BY ts, event_id) AS BIGINT)
-  AS island, items_fetched<>coalesce(p_items,0) AS changed FROM polls) WHERE NOT changed
-GROUP BY run_no, island HAVING count(*)>4""", "polls"))
+STALLS = query("""
+SELECT run_no, count(*) AS polls, min(event_id) AS first_event FROM (SELECT *, CAST(sum(CASE WHEN moved THEN 1 ELSE 0 END)
+  OVER (PARTITION BY run_no ORDER BY ts, event_id) AS BIGINT) AS island FROM (SELECT *, items_fetched<>coalesce(p_items,0)
+  OR status<>'RUNNING' AS moved FROM polls)) WHERE NOT moved GROUP BY run_no, island HAVING count(*)>10""", "polls")
+
+
+@register("run_stalls", STALLS)
 def run_stalls(spark, sf_dir):
-    # The poll series here is short, so a stall is more than four flat polls.
     series = _polls(spark, sf_dir)
-    return monitor.stalls(series, 4, F.min("event_id").alias("first_event")).select("run_no", "polls", "first_event")
+    return monitor.stalls(series, monitor.STALL_POLLS, F.min("event_id").alias("first_event")).select("run_no", "polls", "first_event")
 
 
 @register("monitor_intervals", query("""

@@ -9,8 +9,9 @@ to the files, and do not repeat the validation.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.operators import reports, validate, verdict_store
+from tallyline.operators import monitor, reports, validate, verdict_store
 from tallyline.plans import fixtures
 from tallyline.session import scratch_path
 from tallyline.sinks.day_log import write_days
@@ -24,6 +25,12 @@ def _build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return validate.validate_json(fixtures.items(spark, sf_dir), [*fixtures.ITEM_KEYS, "raw"])
     if name == "runs":
         return reports.with_counters(fixtures.table(spark, sf_dir, "runs"), store(spark, sf_dir, "verdicts"))
+    if name == "polls":
+        events = fixtures.table(spark, sf_dir, "events").select(
+            F.col("user_id").alias("run_no"), "event_id", "ts", F.floor("value").alias("source_total"),
+            (F.col("event_type") == "purchase").cast("long").alias("step"),
+            F.when((F.col("event_type") == "error") & (F.col("event_id") % 8 == 0), "PARTIAL_FAILED").otherwise("RUNNING").alias("status"))
+        return monitor.polls(monitor.running_sum(events, ["run_no"], ["ts", "event_id"], F.col("step"), "items_fetched").drop("step"))
     if name == "landed_pages":
         return fixtures.landed_pages(spark, sf_dir).select("value")
     if name == "page_ids":

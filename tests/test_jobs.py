@@ -267,7 +267,7 @@ def test_layout_fills_every_column_through_every_alias(spark):
 @pytest.mark.parametrize("key", ["validate_products", "stream_validate", "stream_monitor", "stream_idempotency",
                                  "delivery_release", "day_run_totals", "run_health", "id_list_coverage", "existing_ids",
                                  "coverage_missing", "coverage_missing_sample", "coverage_extra", "backfill_new_items", "idempotency_insert",
-                                 "verdicts_for_last_day", "verdicts_on_days", "verdicts_in_run_window", "backfill_window_scan", "stream_finalize", "daily_verdict_csv",
+                                 "verdicts_for_last_day", "verdicts_on_days", "verdicts_in_run_window", "backfill_window_scan", "stream_finalize", "stream_stalls", "stream_metrics", "source_growth", "daily_verdict_csv",
                                  "publish_layout_file", "run_results_file", "daily_summary_file", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
                                  "resumable_run", "coverage_summary", "run_stalls", "monitor_summary", "stream_upsert",
                                  "stream_run_counters", "backfill_totals", "reason_frequency", "outbox_transition"])

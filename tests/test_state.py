@@ -136,3 +136,41 @@ def test_a_batch_of_keys_reads_its_own_buckets(spark, monkeypatch):
     assert 1 <= len(set(opened)) <= 2
     rows = {r["idempotency_key"]: r["delivered_at"] for r in jobs.key_table(spark, root, 32).read().collect()}
     assert len(rows) == 2001 and rows["k7"].minute == 7 and rows["new"].minute == 0
+
+
+def test_stalls_of_a_stream_equal_those_of_the_table(spark):
+    import random
+
+    from tallyline.operators import monitor
+
+    r, rows = random.Random(2), []
+    for run in range(4):
+        items = 0
+        for n in range(90):
+            items += r.random() < 0.12
+            rows.append((run, run * 100 + n, at(n), items, 5, "FAILED" if r.random() < 0.03 else "RUNNING"))
+    schema = "run_no long, event_id long, ts timestamp_ntz, items_fetched long, source_total long, status string"
+    series = monitor.polls(spark.createDataFrame(rows, schema))
+    want = sorted(tuple(x) for x in monitor.stalls(series, 10, F.min("event_id").alias("e")).select("run_no", "e", "polls").collect())
+    path, out, check = (scratch_path(spark, n) for n in ("polls", "stalls", "checkpoint"))
+    for part in range(5):
+        mine = [x for x in rows if x[1] % 100 // 18 == part]
+        df = spark.createDataFrame(mine, schema).withColumn("ts", F.col("ts").cast("timestamp")).drop("source_total")
+        df.coalesce(1).write.mode("append").parquet(path)
+        jobs.watch_stalls(spark.readStream.schema(df.schema).parquet(path), out, check).awaitTermination()
+    got = sorted(tuple(x) for x in jobs.merged_stalls(spark, out).select("run_no", "first_event", "polls").collect())
+    assert got == want and len(want) > 3 and any(e // 18 != (e + n - 1) // 18 for _, e, n in [(a, b % 100, c) for a, b, c in want])
+
+
+def test_observed_counts_add_up_over_restarts(spark):
+    path, root, check = (scratch_path(spark, n) for n in ("in", "log", "checkpoint"))
+    schema = "gtin string, validation_status string, schema_valid boolean"
+    for n in range(3):
+        stream = land(spark, [("1", "Accepted", True), ("2", "Rejected", True), ("3", "Rejected", False)][:3 - n], path, schema)
+        for _ in range(2):
+            jobs.write_log(stream, root, check).awaitTermination()
+    files.delete(spark, f"{check}/commits/2")  # the last batch comes again
+    jobs.write_log(stream, root, check).awaitTermination()
+    got = {x["metric"]: x["total"] for x in jobs.metric_totals(spark, root).collect()}
+    assert got == {"validated": 6, "accepted": 3, "rejected": 2, "schema_invalid": 1}
+    assert spark.read.parquet(f"{root}/log").count() == 6
