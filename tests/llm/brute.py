@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -158,3 +159,60 @@ def bottom_k(text, k, shingle=5):
 def alike(a, b, k):
     union = sorted({*a, *b})[:k]
     return len({*union} & {*a} & {*b}) / len(union) if union else 1.0
+
+
+def grams(text, cells):
+    w = re.findall(WORD, text or "")
+    return [cell(chained(x), cells) for x in w] + [cells + cell(chained(x, y), cells) for x, y in zip(w, w[1:], strict=False)]
+
+
+def quality_kept(docs, labels, cells, threshold=-0.1, smooth=10, prior=16):
+    """Flags of [(doc_id, text)]: not failed by the base rules, and likely enough. Labels: [(doc_id, quality, toxic)]."""
+    bad = {i for i, q, t in labels if q == 0 or t == 1}
+    trusted = {i for i, q, _ in labels if i is not None and q == 1} - bad
+    raw, target = collections.Counter(), collections.Counter()
+    for i, t in docs:
+        raw.update(grams(t, cells))
+        if i in trusted:
+            target.update(grams(t, cells))
+    total = [[sum(n for g, n in c.items() if g // cells == kind) for c in (raw, target)] for kind in (0, 1)]
+    out = []
+    for _, t in docs:
+        n, *_, repeated = base_features(t)
+        gs = grams(t, cells)
+        score = sum(math.log((target[g] + smooth) / (raw[g] * total[g // cells][1] / total[g // cells][0] + smooth)) for g in gs)
+        out.append(n >= 10 and 100 * repeated <= 20 * n and score / (len(gs) + prior) >= threshold)
+    return out
+
+
+def mixed(docs, seed, most=3):
+    """Epochs of [(doc_id, text, source)]: sources by code point, null last, weigh 1, 2, 3, repeating."""
+    size = lambda t: len(re.findall(WORD, t or ""))
+    names = sorted({s for *_, s in docs if s is not None}, key=lambda s: s.encode()) + [None] * any(s is None for *_, s in docs)
+    have = {n: sum(size(t) for _, t, s in docs if s == n) for n in names}
+    weight, capped = {n: 1 + k % 3 for k, n in enumerate(names)}, {}
+    while True:
+        free = [n for n in names if n not in capped]
+        level = (sum(have.values()) - sum(capped.values())) / sum(weight[n] for n in free) if free else 0
+        over = [n for n in free if level * weight[n] > most * have[n]]
+        if not over:
+            break
+        capped |= {n: most * have[n] for n in over}
+
+    def key(i, t):
+        text = f"{'null' if i is None else i}:{hashlib.md5((t or '').encode()).hexdigest()}:{seed}"
+        u = (int(hashlib.md5(text.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        share = len(re.findall(r"[#*$%&|<>]", t or "")) / max(1, len(t or ""))
+        return -math.log(u) / (max(0.1, 1.0 - 10.0 * share) if t is not None else 0.1)
+
+    epochs = {}
+    for n in names:
+        target = capped.get(n, level * weight[n])
+        whole = int(target // have[n]) if have[n] else 0
+        rest, cum = target - whole * have[n], 0
+        rows = collections.Counter((key(i, t), i is not None, i or 0, t) for i, t, s in docs if s == n)
+        for row in sorted(rows, key=lambda r: r[:3]):
+            words = size(row[3]) * rows[row]
+            cum += words
+            epochs[n, row[2] if row[1] else None, row[3]] = whole + (cum - words / 2 <= rest)
+    return [epochs[s, i, t] for i, t, s in docs]

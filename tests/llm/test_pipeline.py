@@ -70,3 +70,69 @@ def test_large_groups_are_compared_block_against_block(spark, monkeypatch):
         words[r.randrange(300)] = f"x{k}"
         rows.append((k, " ".join(words)))
     assert stage(spark, rows) == kept(rows)
+
+
+def encoded(text):
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+    from tallyline.llm import bpe
+
+    with open(bpe.VOCABULARY, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary(text or "")
+
+
+def corpus(seed=9):
+    r = random.Random(seed)
+    common, rare = [f"w{k}" for k in range(60)], [f"x{k}" for k in range(40)]
+    line = "A line that many of the documents share, word for word"
+    rows = [(1, None, "a"), (2, "", "b"), (3, "too short", "b"), (4, "again and " * 40, None), (5, " \n\n ", "a")]
+    for i in range(6, 90):
+        words = [r.choice(common if i % 5 else rare) for _ in range(r.randint(12, 160))]
+        text = " ".join(words) + (f"\n {line.upper() if i % 2 else line} \n" if i % 3 == 0 else "") + ("\n### $$$ %%%" if i % 11 == 0 else "")
+        rows.append((None if i % 13 == 0 else i, text, ["a", "b", "é", None][i % 4]))
+        if i % 9 == 0:
+            rows += [(200 + i, text, "a"), (300 + i, text.replace("w7", "w8", 1), "b")]
+    rows += [(400, " ".join(r.choice(common) for _ in range(9000)), "a"), rows[20], rows[20]]
+    labels = [(i, int(i % 5 != 0), int(i % 17 == 0)) for i in range(1, 60)] + [(None, 1, 0), (7, None, None)]
+    return rows, labels
+
+
+def stored(spark, folder, rows, labels):
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or ""), "kept", 1) for i, t, s in rows], SCHEMA + ", shard string, cells int")
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_run_equals_brute_force(spark, tmp_path):
+    from tallyline.llm import mixing, quality
+
+    rows, labels = corpus()
+    cells = quality.cells_for(sum(len(t or "") for _, t, _ in rows))
+    flags = brute.quality_kept([r[:2] for r in rows], labels, cells)
+    good = [r for r, f in zip(rows, flags, strict=True) if f]
+    assert 40 < len(good) < len(rows) - 10
+    lines = [(i, text, s) for (i, _, _, text), (*_, s) in zip(brute.drop_lines([r[:2] for r in good]), good, strict=True)]
+    assert any(t != r[1] for (_, t, _), r in zip(lines, good, strict=True))
+    sets = [shingles(t) for _, t, _ in lines]
+    label = brute.components(list(range(len(lines))), np.array([[near(a, b) for b in sets] for a in sets]))
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1] or "", "en", r[2] is not None, r[2] or "")
+    one = [min((r for r, c in zip(lines, label, strict=True) if c == g), key=key) for g in set(label)]
+    assert len(one) < len(lines)
+    epochs = brute.mixed(one, mixing.SEED)
+    want = [(i, len(encoded(t))) for (i, t, _), n in zip(one, epochs, strict=True) for _ in range(n)]
+    got = corpus_pipeline.run(spark, stored(spark, tmp_path, rows, labels))
+    assert sorted(((r["doc_id"], r["n_tokens"]) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    assert {0, 1} <= set(epochs)
+
+
+def test_every_stage_of_an_empty_table(spark, tmp_path):
+    folder = stored(spark, tmp_path, [], [])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        assert out.count() == 0 and (name == corpus_pipeline.STAGES[-1][0] or out.columns == docs.columns)
+    assert corpus_pipeline.run(spark, folder).count() == 0
