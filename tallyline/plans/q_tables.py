@@ -14,7 +14,7 @@ from tallyline.plans.stores import path_of, store
 from tallyline.session import scratch_path
 from tallyline.sinks import outputs
 from tallyline.sinks.day_log import read_days
-from tallyline.sources import id_list
+from tallyline.sources import feed, id_list
 
 REASON_TEXT = "array_join(reasons, '; ') AS reasons"
 
@@ -274,11 +274,14 @@ def run_results_export(spark, sf_dir):
     return reports.run_results(current(spark, sf_dir))
 
 
-@register("run_report", query("""
+_REPORT = """
 SELECT run_id, status, status_filter, from_date AS "from", CAST(to_date AS DATE) AS "to",
   CAST(start_time AS VARCHAR) AS start_time, CAST(end_time AS VARCHAR) AS end_time, pages_fetched, items_fetched,
   schema_invalid, validated_count AS validated, accepted_count AS accepted, rejected_count AS rejected,
-  delivered_count AS delivered, delivery_failed_count AS delivery_failed FROM runs_full""", "runs_full"))
+  delivered_count AS delivered, delivery_failed_count AS delivery_failed FROM runs_full"""
+
+
+@register("run_report", query(_REPORT, "runs_full"))
 def run_report(spark, sf_dir):
     report = reports.run_report(store(spark, sf_dir, "runs"))
     return report.withColumns({c: F.col(c).cast("string") for c in ("start_time", "end_time")})
@@ -322,6 +325,23 @@ def run_results_file(spark, sf_dir):
     return outputs.read_lines(spark, path, ["run_id"]).withColumn("line_no", F.col("line_no").cast("long"))
 
 
+_REPORT_FILE = list(reports.RUN_REPORT)
+
+
+@register("run_report_file", query(f"""
+SELECT run_id, line_no, line FROM (SELECT run_id, CAST(unnest([0, 1]) AS BIGINT) AS line_no, unnest(['{",".join(_REPORT_FILE)}',
+  {_csv_sql(*[f'"{c}"' for c in _REPORT_FILE])}]) AS line FROM ({_REPORT}))""", "runs_full"))
+def run_report_file(spark, sf_dir):
+    """The report file of each run, and the same as JSON; the JSON is read back and written as CSV lines."""
+    path, json_path = scratch_path(spark, "run-report"), scratch_path(spark, "run-report-json")
+    report = reports.run_report(store(spark, sf_dir, "runs"))
+    report = report.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in report.columns]).withColumn("run", F.col("run_id"))
+    outputs.write_json(report, json_path, ["run"], _REPORT_FILE)
+    back = spark.read.schema(", ".join(f"`{c}` string" for c in _REPORT_FILE)).json(json_path).withColumn("run", F.col("run_id"))
+    outputs.write_csv(back, path, ["run"], [], _REPORT_FILE)
+    return outputs.read_lines(spark, path, ["run"]).select(F.col("run").alias("run_id"), F.col("line_no").cast("long").alias("line_no"), "line")
+
+
 _SUMMARY_FILE = ["report_date", "runs_running", "runs_success", "runs_failed", "total_items_fetched", "total_validated", "total_accepted",
                  "total_rejected", "total_delivered", "total_delivery_failed"]
 
@@ -376,6 +396,19 @@ def batch_event_stats(spark, sf_dir):
     return stats.withColumns({c: F.col(c).cast("long") for c in ("first_page", "last_page")})
 
 
+@register("page_event_log", query("""
+SELECT run_id, count(*) AS total_batches, CAST(sum(items_count) AS BIGINT) AS total_items_in_batches,
+  min(source_page_seq) AS first_page, max(source_page_seq) AS last_page FROM batch_events GROUP BY run_id""", "batch_events"))
+def page_event_log(spark, sf_dir):
+    """Events of the landed pages, appended by two jobs, the second of which begins with a page of the first."""
+    path = scratch_path(spark, "batch-events")
+    events = feed.page_events(store(spark, sf_dir, "landed_pages"))
+    odd = F.col("source_page_seq") % 2 == 1
+    runs.append_events(events.where(odd), path)
+    runs.append_events(events.where(~odd | (F.col("source_page_seq") == 1)), path)
+    return reports.batch_event_stats(spark.read.parquet(path))
+
+
 @register("run_discrepancy", query("""
 SELECT run_id, items_fetched, u AS unique_ids, items_fetched-u AS discrepancy,
   CASE WHEN items_fetched>u THEN round((items_fetched-u)*100.0/items_fetched,1) END AS discrepancy_pct,
@@ -517,6 +550,19 @@ def id_list_coverage(spark, sf_dir):
     return _covered(spark, sf_dir).select("gtin", "validation_status", "run_delivered", "present")
 
 
+_ON_LAST_DAY = _COVERED.replace("FROM current WHERE", """FROM current WHERE run_id IN (SELECT run_id FROM runs
+  WHERE (SELECT max(from_date) FROM runs) BETWEEN from_date AND to_date) AND""")
+
+
+@register("id_list_coverage_last_day", query(f"""
+SELECT gtin, validation_status, run_delivered, validation_status IS NOT NULL AS present FROM {_ON_LAST_DAY}""", "current", "runs"))
+def id_list_coverage_last_day(spark, sf_dir):
+    """Only verdicts of runs whose window holds the last day of the feed count."""
+    r = store(spark, sf_dir, "runs")
+    covered = coverage.list_coverage(_id_list(spark, sf_dir), current(spark, sf_dir), r, r.agg(F.max("from_date").alias("d")).scalar())
+    return covered.select("gtin", "validation_status", "run_delivered", "present")
+
+
 @register("id_list_status_counts", query(f"""
 SELECT coalesce(validation_status,'missing') AS status, count(*) AS n,
   count(*) FILTER (WHERE run_delivered) AS in_delivered_runs FROM {_COVERED} GROUP BY 1""", "current", "runs"))

@@ -46,6 +46,12 @@ def write_csv(rows: DataFrame, path: str, groups: list[str], order: list[str], c
     write_lines(csv_lines(rows, groups, order, columns, always), path, groups)
 
 
+def write_json(rows: DataFrame, path: str, groups: list[str], columns: list[str], order: list[str] = ()) -> None:
+    """An object for each row, a line each; null values are written."""
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+    write_lines(rows.select(*groups, *[F.col(o).alias(f"o{k}") for k, o in enumerate(order)], line.alias("value")), path, groups)
+
+
 def read_lines(spark: SparkSession, path: str, groups: list[str]) -> DataFrame:
     """(groups as text, line_no, line) as they stand in the files; line 0 is the first. Values hold no line feeds."""
     whole = spark.read.option("wholetext", True).text(path).select(

@@ -102,6 +102,13 @@ def quarantine(lines: DataFrame, raw: str = "value") -> DataFrame:
         F.col(raw).alias("raw"), F.lit(UNPARSEABLE).alias("problem"))
 
 
+def page_events(lines: DataFrame) -> DataFrame:
+    """One event for each readable page of ``value``: run, batch, sequence, items and cursors."""
+    head = page_header(parse_pages(lines).where("v IS NOT NULL"))
+    return head.select("run_id", "batch_id", "source_page_seq", F.size("items").cast("long").alias("items_count"), "cursor_in",
+                       F.col("next_cursor").alias("cursor_out"), F.lit("RAW_BATCH_ENQUEUED").alias("event_type"))
+
+
 # Keys that may hold the id of an item, in order of preference.
 ID_KEYS = ["gtin", "GTIN", "GTIN_number"]
 
