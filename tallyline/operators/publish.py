@@ -119,10 +119,11 @@ def chunked(deduped: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
 
 
 def payloads(rows: DataFrame, by: list[str], order: str, columns: list[str]) -> DataFrame:
-    """One ``{"data": [...]}`` text per group; groups are bounded by the chunk size."""
-    entry = F.struct(order, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
-    listed = F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["row"])
-    return rows.groupBy(*by).agg(F.count("*").alias("n_rows"), F.to_json(F.struct(listed.alias("data"))).alias("payload"))
+    """One ``{"data": [...]}`` text per group; groups are bounded by the chunk size. A row becomes its text before the
+    shuffle, so a group gathers texts and not wide rows."""
+    entry = F.struct(order, F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("row"))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["row"]), ",")
+    return rows.groupBy(*by).agg(F.count("*").alias("n_rows"), F.concat(F.lit('{"data":['), listed, F.lit("]}")).alias("payload"))
 
 
 def delivery_payloads(verdicts: DataFrame) -> DataFrame:

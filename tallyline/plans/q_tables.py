@@ -693,18 +693,47 @@ def monitor_intervals(spark, sf_dir):
     return out.withColumn("interval_start", F.col("interval_start").cast("string"))
 
 
-@register("monitor_summary", query("""
+_MONITOR_SUMMARY = """
 SELECT *, CASE WHEN final_total>initial_total THEN 'up' WHEN final_total<initial_total THEN 'down' ELSE 'none' END
   AS direction FROM (SELECT run_no, count(*) AS total_reports, arg_min(items_fetched, (ts,event_id)) AS initial_items,
   arg_max(items_fetched, (ts,event_id)) AS final_items, arg_min(source_total, (ts,event_id)) AS initial_total,
   arg_max(source_total, (ts,event_id)) AS final_total, count(*) FILTER (WHERE source_total>p_total) AS arrival_events,
   count(*) FILTER (WHERE items_fetched>coalesce(p_items,0)) AS fetch_events,
   CAST(coalesce(sum(source_total-p_total) FILTER (WHERE source_total>p_total),0) AS BIGINT) AS arrived,
-  CAST(sum(items_fetched-coalesce(p_items,0)) AS BIGINT) AS fetched FROM polls GROUP BY run_no)""", "polls"))
+  CAST(sum(items_fetched-coalesce(p_items,0)) AS BIGINT) AS fetched FROM polls GROUP BY run_no)"""
+
+
+@register("monitor_summary", query(_MONITOR_SUMMARY, "polls"))
 def monitor_summary(spark, sf_dir):
     return monitor.summary(_polls(spark, sf_dir))
 
 
+@register("monitor_summary_file", query(_MONITOR_SUMMARY, "polls"))
+def monitor_summary_file(spark, sf_dir):
+    """The summary of each run as a JSON file, read back."""
+    path = scratch_path(spark, "monitor-summary")
+    rows = monitor_summary(spark, sf_dir)
+    outputs.write_json(rows.withColumn("run", F.col("run_no")), path, ["run"], rows.columns)
+    return spark.read.schema(rows.schema).json(path).select(rows.columns)
+
+
+_ARRIVAL_FILE = ["ts", "event_id", "source_total", "new_items", "previous_total"]
+
+
+@register("monitor_arrivals_file", query(f"""
+SELECT CAST(run_no AS VARCHAR) AS run, row_number() OVER (PARTITION BY run_no ORDER BY ts, event_id) AS line_no,
+  {_csv_sql(*_ARRIVAL_FILE)} AS line FROM (SELECT run_no, event_id, CAST(ts AS VARCHAR) AS ts, source_total,
+  source_total-p_total AS new_items, p_total AS previous_total FROM polls WHERE source_total>p_total)
+UNION ALL SELECT DISTINCT CAST(run_no AS VARCHAR), 0, '{",".join(_ARRIVAL_FILE)}' FROM polls WHERE source_total>p_total""", "polls"))
+def monitor_arrivals_file(spark, sf_dir):
+    """New items of each run as a CSV file in the order of the polls, read back as it stands."""
+    path = scratch_path(spark, "monitor-arrivals")
+    rows = monitor_arrivals(spark, sf_dir).withColumn("run", F.col("run_no"))
+    outputs.write_csv(rows, path, ["run"], ["ts", "event_id"], _ARRIVAL_FILE)
+    return outputs.read_lines(spark, path, ["run"]).withColumn("line_no", F.col("line_no").cast("long"))
+
+
+
 @register("run_gaps", query("""
 SELECT run_id, gap_minutes FROM (SELECT run_id, CAST(floor(date_diff('second', lag(end_time) OVER (PARTITION BY from_date
   ORDER BY start_time, run_id), start_time)/60) AS BIGINT) AS gap_minutes FROM runs) WHERE gap_minutes>30""", "runs"))

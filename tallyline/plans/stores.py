@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators import monitor, reports, validate, verdict_store
+from tallyline.operators import monitor, publish, reports, validate, verdict_store
 from tallyline.plans import fixtures
 from tallyline.session import scratch_path
 from tallyline.sinks.day_log import write_days
@@ -37,6 +37,9 @@ def _build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return feed.page_ids(store(spark, sf_dir, "landed_pages"))
     if name == "current":
         return verdict_store.latest(store(spark, sf_dir, "verdicts").drop("raw"))
+    if name == "day_log":
+        current = verdict_store.latest(store(spark, sf_dir, "verdicts").withColumn("n_keys", publish.top_level_keys()))
+        return verdict_store.with_run_day(current, store(spark, sf_dir, "runs"))
     if name == "current_days":
         return verdict_store.with_run_day(store(spark, sf_dir, "current"), store(spark, sf_dir, "runs"))
     if name == "item_days":

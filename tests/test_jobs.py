@@ -269,7 +269,7 @@ def test_layout_fills_every_column_through_every_alias(spark):
                                  "coverage_missing", "coverage_missing_sample", "coverage_extra", "backfill_new_items", "idempotency_insert",
                                  "verdicts_for_last_day", "verdicts_on_days", "verdicts_in_run_window", "backfill_window_scan", "stream_finalize", "stream_stalls", "stream_metrics", "source_growth", "daily_verdict_csv",
                                  "publish_layout_file", "run_results_file", "daily_summary_file",
-                                 "run_report_file", "page_event_log", "id_list_coverage_last_day", "run_report", "daily_summary", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
+                                 "run_report_file", "page_event_log", "monitor_summary_file", "monitor_arrivals_file", "publish_chunks", "delivery_payload", "id_list_coverage_last_day", "run_report", "daily_summary", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
                                  "resumable_run", "coverage_summary", "run_stalls", "monitor_summary", "stream_upsert",
                                  "stream_run_counters", "backfill_totals", "reason_frequency", "outbox_transition"])
 def test_query_matches_sql(spark, key):
