@@ -164,6 +164,15 @@ def run_outcomes(runs: DataFrame, day: Column) -> DataFrame:
         F.coalesce(F.sum("items_fetched"), F.lit(0)).alias("total_items"))
 
 
+def continuity(days: DataFrame, fresh_minutes: int = 60) -> DataFrame:
+    """Whether validation goes on by itself: days of (total_runs, newest, now, grew). A day whose source grew works if it has
+    several runs, or one that started less than ``fresh_minutes`` ago."""
+    grew, n = F.coalesce("grew", F.lit(False)), F.col("total_runs")
+    age = dates.minute_diff(F.col("now"), F.col("newest"))
+    return days.withColumn("verdict", F.when(grew & ((n > 1) | (age < fresh_minutes)), "working").when(
+        grew & (n == 1), "single run").otherwise("insufficient data"))
+
+
 def pipeline_totals(runs: DataFrame, outbox: DataFrame) -> DataFrame:
     """Totals over everything: one row of counters plus delivery retries."""
     names = {"pages_fetched": "pages", "items_fetched": "items", "validated_count": "validated",

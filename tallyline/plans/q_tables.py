@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import dates
@@ -439,15 +439,25 @@ def run_outcomes(spark, sf_dir):
     return reports.run_outcomes(store(spark, sf_dir, "runs"), F.col("from_date"))
 
 
+# The polls are of other years than the runs: their days are taken in turn as the days of the runs.
 @register("continuity_verdict", query(f"""
-SELECT day, CASE WHEN total_runs>1 THEN 'working' WHEN total_runs=1 THEN 'single run' ELSE 'insufficient data' END
-  AS verdict FROM ({_OUTCOMES})""", "runs"))
+SELECT day, CASE WHEN grew AND (total_runs>1 OR age<60) THEN 'working' WHEN grew AND total_runs=1 THEN 'single run'
+  ELSE 'insufficient data' END AS verdict FROM (SELECT o.day, total_runs, coalesce(g.grew,false) AS grew,
+  floor(date_diff('second', newest, CAST(o.day AS TIMESTAMP)+INTERVAL 590 MINUTE)/60) AS age
+  FROM (SELECT *, dense_rank() OVER (ORDER BY day) AS k FROM ({_OUTCOMES})) o
+  JOIN (SELECT from_date AS day, max(start_time) AS newest FROM runs GROUP BY 1) n ON n.day=o.day
+  LEFT JOIN (SELECT dense_rank() OVER (ORDER BY CAST(ts AS DATE)) AS k, bool_or(source_total>p_total) AS grew FROM polls
+  GROUP BY CAST(ts AS DATE)) g ON g.k=o.k)""", "runs", "polls"))
 def continuity_verdict(spark, sf_dir):
-    # The source grows on every day the series covers; the verdict turns on the runs.
-    days = reports.run_outcomes(store(spark, sf_dir, "runs"), F.col("from_date"))
-    n = F.col("total_runs")
-    return days.select("day", F.when(n > 1, "working").when(n == 1, "single run").otherwise("insufficient data")
-                       .alias("verdict"))
+    r, day = store(spark, sf_dir, "runs"), F.col("from_date")
+    newest = r.groupBy(day.alias("day")).agg(F.max("start_time").alias("newest"))
+    days = reports.run_outcomes(r, day).join(newest, "day").withColumn("now", _noon("day"))
+    grown = _polls(spark, sf_dir).groupBy(F.col("ts").cast("date").alias("poll_day")).agg(
+        F.bool_or(F.col("source_total") > F.col("prev_source_total")).alias("grew"))
+    # One row for each day on both sides.
+    grown = grown.select(F.dense_rank().over(Window.orderBy("poll_day")).alias("k"), "grew")
+    days = days.withColumn("k", F.dense_rank().over(Window.orderBy("day"))).join(grown, "k", "left")
+    return reports.continuity(days).select("day", "verdict")
 
 
 @register("pipeline_totals", query("""

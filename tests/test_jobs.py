@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.operators import coverage, monitor, publish, validate, verdict_store
+from tallyline.operators import coverage, monitor, publish, reports, validate, verdict_store
 from tallyline.operators.ordering import with_position
 from tallyline.plans import catalog, check
 from tallyline.sinks import day_log, files, outputs
@@ -240,6 +240,15 @@ def test_jobs_for_some_days_prune_partitions(spark, key):
     assert "PartitionFilters: [isnotnull(" in plan
 
 
+def test_continuity_has_all_its_outcomes(spark):
+    rows = [("a", 2, "2026-01-01 01:00:00", True), ("b", 2, "2026-01-01 01:00:00", False), ("c", 1, "2026-01-01 09:00:00", True),
+            ("d", 1, "2026-01-01 08:00:00", True), ("e", 1, "2026-01-01 09:59:00", None), ("f", 2, "2026-01-01 09:59:00", None)]
+    days = spark.createDataFrame(rows, "day string, total_runs int, newest string, grew boolean").select(
+        "day", "total_runs", F.col("newest").cast("timestamp_ntz").alias("newest"), "grew", F.lit("2026-01-01 09:59:59").cast("timestamp_ntz").alias("now"))
+    got = {r["day"]: r["verdict"] for r in reports.continuity(days).collect()}
+    assert got == {"a": "working", "b": "insufficient data", "c": "working", "d": "single run", "e": "insufficient data", "f": "insufficient data"}
+
+
 def test_layout_fills_every_column_through_every_alias(spark):
     import json
 
@@ -269,7 +278,7 @@ def test_layout_fills_every_column_through_every_alias(spark):
                                  "coverage_missing", "coverage_missing_sample", "coverage_extra", "backfill_new_items", "idempotency_insert",
                                  "verdicts_for_last_day", "verdicts_on_days", "verdicts_in_run_window", "backfill_window_scan", "stream_finalize", "stream_stalls", "stream_metrics", "source_growth", "daily_verdict_csv",
                                  "publish_layout_file", "run_results_file", "daily_summary_file",
-                                 "run_report_file", "page_event_log", "monitor_summary_file", "monitor_arrivals_file", "publish_chunks", "delivery_payload", "id_list_coverage_last_day", "run_report", "daily_summary", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
+                                 "run_report_file", "page_event_log", "continuity_verdict", "monitor_summary_file", "monitor_arrivals_file", "publish_chunks", "delivery_payload", "id_list_coverage_last_day", "run_report", "daily_summary", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
                                  "resumable_run", "coverage_summary", "run_stalls", "monitor_summary", "stream_upsert",
                                  "stream_run_counters", "backfill_totals", "reason_frequency", "outbox_transition"])
 def test_query_matches_sql(spark, key):
