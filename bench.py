@@ -20,7 +20,7 @@ HEADLINE = [
     "coverage_summary", "backfill_totals", "id_list_coverage", "next_run_action", "idempotency_insert",
     "outbox_transition", "monitor_summary", "run_stalls", "stream_upsert", "stream_run_counters", "publish_layout", "publish_chunks",
     "delivery_payload", "daily_verdict_csv", "batch_verdict_json", "stream_validate", "stream_monitor",
-    "stream_idempotency", "delivery_release", "stream_stalls", "stream_metrics", "verdicts_for_last_day", "run_results_file",
+    "stream_idempotency", "delivery_release", "stream_stalls", "stream_metrics", "verdicts_for_last_day",
 ]
 
 

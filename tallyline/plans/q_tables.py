@@ -328,33 +328,37 @@ def run_results_file(spark, sf_dir):
 _REPORT_FILE = list(reports.RUN_REPORT)
 
 
-@register("run_report_file", query(f"""
-SELECT run_id, line_no, line FROM (SELECT run_id, CAST(unnest([0, 1]) AS BIGINT) AS line_no, unnest(['{",".join(_REPORT_FILE)}',
-  {_csv_sql(*[f'"{c}"' for c in _REPORT_FILE])}]) AS line FROM ({_REPORT}))""", "runs_full"))
+def _month_file(columns: list[str], rows: str, month: str, order: str) -> str:
+    return f"""SELECT month, row_number() OVER (PARTITION BY month ORDER BY {order}) AS line_no,
+  {_csv_sql(*[f'"{c}"' for c in columns])} AS line FROM (SELECT *, substr(CAST({month} AS VARCHAR),1,7) AS month FROM ({rows}))
+UNION ALL SELECT DISTINCT substr(CAST({month} AS VARCHAR),1,7), 0, '{",".join(columns)}' FROM ({rows})"""
+
+
+@register("run_report_file", query(_month_file(_REPORT_FILE, _REPORT, '"from"', "run_id"), "runs_full"))
 def run_report_file(spark, sf_dir):
-    """The report file of each run, and the same as JSON; the JSON is read back and written as CSV lines."""
+    """The reports of the runs of each month as JSON, read back and written as CSV in the order of the runs."""
     path, json_path = scratch_path(spark, "run-report"), scratch_path(spark, "run-report-json")
     report = reports.run_report(store(spark, sf_dir, "runs"))
-    report = report.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in report.columns]).withColumn("run", F.col("run_id"))
-    outputs.write_json(report, json_path, ["run"], _REPORT_FILE)
-    back = spark.read.schema(", ".join(f"`{c}` string" for c in _REPORT_FILE)).json(json_path).withColumn("run", F.col("run_id"))
-    outputs.write_csv(back, path, ["run"], [], _REPORT_FILE)
-    return outputs.read_lines(spark, path, ["run"]).select(F.col("run").alias("run_id"), F.col("line_no").cast("long").alias("line_no"), "line")
+    report = report.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in report.columns])
+    month = F.substring("from", 1, 7)
+    outputs.write_json(report.withColumn("month", month), json_path, ["month"], _REPORT_FILE)
+    back = spark.read.schema(", ".join(f"`{c}` string" for c in _REPORT_FILE)).json(json_path).withColumn("month", month)
+    outputs.write_csv(back, path, ["month"], ["run_id"], _REPORT_FILE)
+    return outputs.read_lines(spark, path, ["month"]).withColumn("line_no", F.col("line_no").cast("long"))
 
 
 _SUMMARY_FILE = ["report_date", "runs_running", "runs_success", "runs_failed", "total_items_fetched", "total_validated", "total_accepted",
                  "total_rejected", "total_delivered", "total_delivery_failed"]
 
 
-@register("daily_summary_file", query(f"""
-SELECT report_date, line_no, line FROM (SELECT CAST(report_date AS VARCHAR) AS report_date, CAST(unnest([0, 1]) AS BIGINT) AS line_no,
-  unnest(['{",".join(_SUMMARY_FILE)}', {_csv_sql(*_SUMMARY_FILE)}]) AS line FROM ({_SUMMARY}))""", "runs_full"))
+@register("daily_summary_file", query(_month_file(_SUMMARY_FILE, _SUMMARY, "report_date", "report_date"), "runs_full"))
 def daily_summary_file(spark, sf_dir):
-    """The summary file of each day, read back as it stands."""
+    """The summaries of the days of each month as a CSV file, read back as it stands."""
     path = scratch_path(spark, "daily-summary")
     rows = reports.daily_summary(store(spark, sf_dir, "runs"))
-    outputs.write_csv(rows.withColumn("day", F.col("report_date")), path, ["day"], ["report_date"], _SUMMARY_FILE)
-    return outputs.read_lines(spark, path, ["day"]).select(F.col("day").alias("report_date"), F.col("line_no").cast("long").alias("line_no"), "line")
+    month = F.substring(F.col("report_date").cast("string"), 1, 7)
+    outputs.write_csv(rows.withColumn("month", month), path, ["month"], ["report_date"], _SUMMARY_FILE)
+    return outputs.read_lines(spark, path, ["month"]).withColumn("line_no", F.col("line_no").cast("long"))
 
 
 @register("run_rates", query("""
