@@ -2,20 +2,25 @@
 
 Suffixes are sampled: of the first SPREAD places of every string of LENGTH bytes, the one whose next 8 bytes hash
 lowest is an anchor, so equal strings have their anchors at equal offsets, and a text has about 2 / SPREAD anchors for
-each byte. A suffix array holds the suffixes at the anchors, ordered by the fingerprint of their first PREFIX bytes
-(suffixes that share a long string share it and are neighbours); it is a bucketed, sorted table.
-
-Documents come in batches. A batch gets its array, which is merge-scanned against the arrays of all levels: fingerprints
-found twice are long-match candidates. Then it joins the family; two levels of equal size merge into one of twice the
-size. Bucketed alike, arrays are scanned and merged without a shuffle of the older ones.
-
-Candidates are resolved exactly: the bytes around an anchor that its strings cover are sent to the task of its
-fingerprint (equal ones once for each sending task), and every string of LENGTH bytes that comes twice is a match there.
-Fingerprints with more anchors than one task should take are resolved by counting their strings one by one.
+each byte. A suffix array holds the places of the suffixes at the anchors, ordered by the fingerprint of their first
+PREFIX bytes (suffixes that share a long string share it and are neighbours); it is a bucketed, sorted table.
+
+Documents come in batches, whose number and size both grow with the square root of the input. A batch gets its array,
+which is merge-scanned against the arrays of all levels: fingerprints found twice are long matches. Then it joins the
+family; two levels of equal size merge into one of twice the size, and their files go. Bucketed alike, arrays are scanned
+without a shuffle of the older ones. The places of the matches are read from the levels. A family can be kept and opened
+again, in another session too, to take in more batches.
+
+Matches are resolved exactly: the bytes around an anchor that its strings cover are sent to the task of its
+fingerprint (equal ones once for each sending task), and every string of LENGTH bytes that comes twice is a match there,
+found by its hash and compared byte by byte. Fingerprints with more anchors than one task should take are resolved by
+counting their strings one by one, each told by 128 bits.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -25,16 +30,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import materialize, partitions, prepare, scratch_path, table
+from tallyline.sinks.files import delete, read_text, replace_text
 
-LENGTH, SPREAD, BATCHES = 200, 150, 3
+LENGTH, SPREAD = 200, 150
 PREFIX = LENGTH - SPREAD
+# Bytes of input whose square root counts as one batch; there are three batches at least.
+BATCH_BYTES = 256 << 20
 # Anchors of one fingerprint that one task resolves; more are resolved string by string.
-GROUP = 100_000
+GROUP = 30_000
 # Bytes around anchors that a task gathers, to send equal ones once.
 HELD = 24 << 20
 _MASK = np.uint64(0xFFFFFFFF)
 _RNG = np.random.default_rng(7)
 _LETTER = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
+_SECOND = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -50,11 +59,11 @@ def _power(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def prefix_sums(text: np.ndarray) -> np.ndarray:
+def prefix_sums(text: np.ndarray, letter: np.ndarray = _LETTER) -> np.ndarray:
     """Running sums from which the hash of any piece follows; pieces here are far shorter than 1024 bytes, below which
     sums modulo 2^64 have no systematic collisions."""
     out = np.zeros(len(text) + 1, dtype=np.uint64)
-    np.cumsum(_LETTER[text] * _power(len(text))[0][:len(text)], out=out[1:])
+    np.cumsum(letter[text] * _power(len(text))[0][:len(text)], out=out[1:])
     return out
 
 
@@ -97,47 +106,82 @@ def _entries(length: int, spread: int):
                     keys.append(piece_hashes(prefix_sums(np.frombuffer(raw, np.uint8)), at, length - spread))
             row = np.repeat(np.arange(b.num_rows), counts)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(pa.array(row)), b.column("mark").take(pa.array(row)),
+                [*[b.column(c).take(pa.array(row)) for c in ("batch", "doc_id", "mark")],
                  pa.array(np.concatenate([np.zeros(0, np.int64), *places]).astype(np.int32)),
-                 pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64))], ["doc_id", "mark", "place", "key"])
+                 pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64))], ["batch", "doc_id", "mark", "place", "key"])
 
     return run
 
 
+# Columns of a suffix array in the order of its rows.
+ENTRY = ["key", "doc_id", "mark", "place"]
+ENTRIES = "key long, doc_id long, mark long, place int"
+
+
 class Family:
-    """Levels of suffix arrays (key, doc_id: the smallest that holds it, n: suffixes), each bucketed and sorted by key."""
+    """Levels of suffix arrays (key, doc_id, mark, place), each bucketed by key and sorted. Their files and, once it is kept,
+    the list of the levels are in ``folder``."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark, self.buckets = spark, partitions(spark)
-        self.levels: list[tuple[int, str]] = []
-        self.tables: list[str] = []
+        self.folder = folder or scratch_path(spark, "suffix-arrays")
+        self.levels: list[tuple[int, str]] = []  # batches in it, table
 
     def _write(self, entries: DataFrame) -> str:
         name = f"suffix_array_{uuid.uuid4().hex}"
-        entries.write.bucketBy(self.buckets, "key").sortBy("key").option("path", scratch_path(self.spark, "suffix-array")).saveAsTable(name)
-        self.tables.append(name)
+        entries.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy(*ENTRY).option(
+            "path", f"{self.folder}/{name}").saveAsTable(name)
         return name
 
+    def _remove(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete(self.spark, f"{self.folder}/{name}")
+
     def add(self, entries: DataFrame) -> DataFrame:
-        """Take in the suffixes (doc_id, key) of a batch; returns the keys now known to come twice in it or in a level."""
-        new = self._write(entries.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")))
-        array = self.spark.table(new)
-        found = array.where("n > 1").select("key")
+        """Take in the suffixes of a batch; returns the keys now known to come twice, in it or in it and a level."""
+        new, size = self._write(entries.select(*ENTRY)), 1
+        times = self.spark.table(new).groupBy("key").agg(F.count("*").alias("n"))
+        found = times.where("n > 1").select("key")
         for _, level in self.levels:
-            found = found.unionByName(array.join(self.spark.table(level), "key", "left_semi").select("key"))
-        found = materialize(found, "long-matches")
-        size = 1
+            found = found.unionByName(times.where("n = 1").join(self.spark.table(level), "key", "left_semi").select("key"))
+        found = materialize(found.distinct(), "long-matches")
         while self.levels and self.levels[-1][0] == size:
-            old = self.spark.table(self.levels.pop()[1])
-            both = self.spark.table(new).unionByName(old)
-            new, size = self._write(both.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.sum("n").alias("n"))), 2 * size
+            old = self.levels.pop()[1]
+            both = self._write(self.spark.table(new).unionByName(self.spark.table(old)))
+            self._remove(old)
+            self._remove(new)
+            new, size = both, 2 * size
         self.levels.append((size, new))
         return found
 
-    def close(self) -> None:
-        """Forget the table names; the files stay in the shared folder."""
-        for name in self.tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    def places(self, keys: DataFrame) -> DataFrame:
+        """The suffixes of the given distinct keys in all levels."""
+        parts = [self.spark.table(level).join(keys, "key", "left_semi").select(*ENTRY) for _, level in self.levels]
+        found = parts[0] if parts else self.spark.createDataFrame([], ENTRIES)
+        for p in parts[1:]:
+            found = found.unionByName(p)
+        return found
+
+    def keep(self) -> str:
+        """Write the list of the levels, replacing the one before in one step; returns the folder to open."""
+        replace_text(self.spark, f"{self.folder}/levels.json", json.dumps({"buckets": self.buckets, "levels": self.levels}))
+        return self.folder
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> Family:
+        """A family that was kept, as it was then. It belongs to one writer; one that added to it has to keep it again."""
+        family, kept = cls(spark, folder), json.loads(read_text(spark, f"{folder}/levels.json"))
+        family.buckets, family.levels = kept["buckets"], [(n, name) for n, name in kept["levels"]]
+        for _, name in family.levels:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ENTRIES}) USING parquet CLUSTERED BY (key) SORTED BY ({', '.join(ENTRY)}) "
+                      f"INTO {family.buckets} BUCKETS LOCATION '{folder}/{name}'")
+        return family
+
+    def drop(self) -> None:
+        """Remove the levels and their files."""
+        for _, name in self.levels:
+            self._remove(name)
+        self.levels = []
 
 
 def _contexts(length: int, spread: int, most: int = HELD):
@@ -172,17 +216,36 @@ def _contexts(length: int, spread: int, most: int = HELD):
     return run
 
 
-def _windows(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(contexts: list[bytes], length: int, letter: np.ndarray = _LETTER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(context number, place in it, hash) of all strings of ``length`` bytes in the contexts."""
     sizes = np.array([len(c) for c in contexts], dtype=np.int64)
     offsets = np.cumsum(sizes) - sizes
     n = sizes - length + 1
     row = np.repeat(np.arange(len(sizes)), n)
     place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    sums = prefix_sums(np.frombuffer(b"".join(contexts), np.uint8))
+    sums = prefix_sums(np.frombuffer(b"".join(contexts), np.uint8), letter)
     return row, place, piece_hashes(sums, offsets[row] + place, length)
 
 
+def _numbers(contexts: list[bytes], row: np.ndarray, place: np.ndarray, hashed: np.ndarray, length: int) -> np.ndarray:
+    """Equal numbers for equal strings only. Strings of one hash are compared with one of them, neighbours in a row at once;
+    should two differ, all are told apart by their bytes."""
+    _, which = np.unique(hashed, return_inverse=True)
+    one = np.zeros(which.max(initial=-1) + 1, dtype=np.int64)
+    one[which] = np.arange(len(which))
+    other = one[which]
+    at = np.flatnonzero(other != np.arange(len(which)))
+    r, p, r2, p2 = row[at], place[at], row[other[at]], place[other[at]]
+    if len(at):
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(r) != 0) | (np.diff(p) != 1) | (np.diff(r2) != 0) | (np.diff(p2) != 1)]))
+        long = np.diff(np.concatenate([new, [len(at)]])) + length - 1
+        for i, a, j, b, n in zip(*[x.tolist() for x in (r[new], p[new], r2[new], p2[new], long)], strict=True):
+            if contexts[i][a:a + n] != contexts[j][b:b + n]:
+                seen: dict[bytes, int] = {}
+                return np.array([seen.setdefault(contexts[i][a:a + length], len(seen)) for i, a in zip(row.tolist(), place.tolist(), strict=True)])
+    return which
+
+
 def _runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of consecutive places: (row, first place, last place)."""
     if not len(row):
@@ -199,7 +262,7 @@ def _resolve(length: int):
         if contexts:
             row, place, hashed = _windows(contexts, length)
             times = np.array([len(d) for d in docs], dtype=np.int64)
-            _, which = np.unique(hashed, return_inverse=True)
+            which = _numbers(contexts, row, place, hashed, length)
             twice = np.bincount(which, weights=times[row]) > 1.5
             hit = twice[which]
             for r, a, z in zip(*[x.tolist() for x in _runs(row[hit], place[hit])], strict=True):
@@ -229,33 +292,46 @@ def _strings(length: int):
     """One row for each string of a context and place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            row, place, hashed = _windows(b.column("context").to_pylist(), length)
+            contexts = b.column("context").to_pylist()
+            row, place, hashed = _windows(contexts, length)
+            second = _windows(contexts, length, _SECOND)[2]
             docs, marks, starts = (b.column(c).to_pylist() for c in ("docs", "marks", "starts"))
             times = np.array([len(d) for d in docs], dtype=np.int64)[row]
             pick = np.repeat(np.arange(len(row)), times)
             flat = [[x for r in row.tolist() for x in column[r]] for column in (docs, marks, starts)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashed[pick].view(np.int64)), pa.array(flat[0], pa.int64()), pa.array(flat[1], pa.int64()),
-                 pa.array(np.array(flat[2], dtype=np.int64) + place[pick])], ["string", "doc_id", "mark", "from"])
+                [pa.array(hashed[pick].view(np.int64)), pa.array(second[pick].view(np.int64)), pa.array(flat[0], pa.int64()), pa.array(flat[1], pa.int64()),
+                 pa.array(np.array(flat[2], dtype=np.int64) + place[pick])], ["string", "second", "doc_id", "mark", "from"])
 
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, batches: int = BATCHES, group: int = GROUP) -> DataFrame:
+def batches_of(docs: DataFrame) -> int:
+    """How many batches a table of documents comes in."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return max(3, math.ceil(math.sqrt(size / BATCH_BYTES)))
+
+
+def suffixes(docs: DataFrame, batches: int = 1, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
+    """(batch, doc_id, mark, place, key) of the suffixes at the anchors of the texts. Partitions of the input are dealt to the batches."""
+    dealt = docs.select(F.pmod(F.spark_partition_id(), F.lit(batches)).alias("batch"), "doc_id", "mark", "text")
+    return dealt.mapInArrow(_entries(length, spread), "batch int, doc_id long, mark long, place int, key long")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, batches: int | None = None, group: int = GROUP) -> DataFrame:
     """(doc_id, mark, from, to) byte spans that strings coming twice cover; they may overlap. ``docs`` has doc_id, mark, text."""
     spark = docs.sparkSession
-    family, entries, found = Family(spark), [], []
     long = docs.where(F.octet_length("text") >= length)
-    for k in range(batches):
-        part = long.where(F.pmod(F.xxhash64("doc_id", "mark"), F.lit(batches)) == k)
-        entries.append(materialize(part.mapInArrow(_entries(length, spread), "doc_id long, mark long, place int, key long"), "suffixes"))
-        found.append(family.add(entries[-1]))
-    every, hits = entries[0], found[0]
-    for e, h in zip(entries[1:], found[1:], strict=True):
-        every, hits = every.unionByName(e), hits.unionByName(h)
+    entries, folder = suffixes(long, batches or batches_of(long), length, spread), scratch_path(spark, "suffixes")
+    entries.write.partitionBy("batch").parquet(folder)  # one scan of the texts for all batches
+    entries = spark.read.schema(entries.schema).parquet(folder)
+    family, hits = Family(spark), spark.createDataFrame([], "key long")
+    for k in sorted(r["batch"] for r in entries.select("batch").distinct().collect()):
+        hits = hits.unionByName(family.add(entries.where(F.col("batch") == k)))
+    delete(spark, folder)  # all suffixes are in the family now
     hits = materialize(hits.distinct(), "repeated-keys")
-    family.close()
-    wanted = materialize(every.join(hits, "key").select("doc_id", "mark", "place", "key"), "candidates")
+    wanted = materialize(family.places(hits).select("doc_id", "mark", "place", "key"), "candidates")
+    family.drop()
     hot = materialize(wanted.groupBy("key").count().where(F.col("count") > group).select("key"), "hot-keys")
     by_doc = materialize(wanted.groupBy("doc_id", "mark").agg(F.collect_set("place").alias("places")), "candidate-places")
     chosen = long.join(by_doc.select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "places"),
@@ -269,9 +345,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     cool = contexts.join(hot, "key", "left_anti").repartition(partitions(spark), "key").sortWithinPartitions("key").mapInArrow(
         _resolve(length), "doc_id long, mark long, from long, to long")
     strings = materialize(contexts.join(hot, "key", "left_semi").mapInArrow(
-        _strings(length), "string long, doc_id long, mark long, from long"), "hot-strings")
-    twice = materialize(strings.groupBy("string").count().where("count > 1").select("string"), "hot-repeated")
-    return cool.unionByName(strings.join(twice, "string").select("doc_id", "mark", "from", (F.col("from") + length).alias("to")))
+        _strings(length), "string long, second long, doc_id long, mark long, from long"), "hot-strings")
+    twice = materialize(strings.groupBy("string", "second").count().where("count > 1").select("string", "second"), "hot-repeated")
+    return cool.unionByName(strings.join(twice, ["string", "second"]).select("doc_id", "mark", "from", (F.col("from") + length).alias("to")))
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +374,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, batches: int = BATCHES, group: int = GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, batches: int | None = None, group: int = GROUP) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept binary) for every row: the text without the bytes covered by a string of
     ``length`` bytes that also starts anywhere else. What is kept are bytes: a cut may fall inside a character.
 

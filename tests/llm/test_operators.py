@@ -68,6 +68,8 @@ def test_edge_tables_give_what_plain_python_gives(spark, edge):
     assert sorted_rows((*r[:4], bytes(r[4])) for r in got) == sorted_rows(brute.repeats(pairs, 60))
     hot = suffix_dedup.remove_repeats(docs, length=60, spread=40, group=3).collect()
     assert sorted_rows(map(tuple, hot)) == sorted_rows(map(tuple, got))
+    many = suffix_dedup.remove_repeats(docs.repartition(7), length=60, spread=40, batches=7).collect()
+    assert sorted_rows(map(tuple, many)) == sorted_rows(map(tuple, got))
 
     got = simhash_dedup.near_duplicates(docs).collect()
     low = -(2**63)
@@ -420,6 +422,38 @@ def test_unwanted_blocks_are_jumped_over(tmp_path):
         assert len(rows) == 1 and rows[0]["payload"] == b"p" * (3 << 20)
 
 
+def test_a_family_that_is_opened_again_goes_on(spark, edge):
+    docs = edge[1].select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(0).cast("long").alias("mark"))
+    entries = common.materialize(suffix_dedup.suffixes(docs.repartition(5), 5, 60, 40), "entries")
+    batch = lambda k: entries.where(F.col("batch") == k)
+    family, found = suffix_dedup.Family(spark), []
+    for k in range(5):
+        found += [r["key"] for r in family.add(batch(k)).collect()]
+        folder = family.keep()
+        for _, name in family.levels:  # another session knows the files only
+            spark.sql(f"DROP TABLE {name}")
+        family = suffix_dedup.Family.open(spark, folder)
+    assert [n for n, _ in family.levels] == [4, 1]
+    times = {r["key"]: r["count"] for r in entries.groupBy("key").count().collect()}
+    assert set(found) == {k for k, n in times.items() if n > 1} and len(found) > 5
+    keys = spark.createDataFrame([(k,) for k in set(found)], "key long")
+    got = sorted_rows(family.places(keys).collect())
+    assert got == sorted_rows(entries.where(F.col("key").isin(list(set(found)))).select(*suffix_dedup.ENTRY).collect())
+    plan = family.spark.table(family.levels[0][1]).join(family.spark.table(family.levels[1][1]).hint("merge"), "key")._jdf.queryExecution().toString()
+    assert "Exchange" not in plan  # levels meet bucket by bucket
+    family.drop()
+
+
+def test_strings_of_one_hash_are_told_apart_by_their_bytes():
+    contexts = [b"abcdef", b"xbcdeg", b"abcdzz"]
+    row, place, hashed = suffix_dedup._windows(contexts, 4)
+    told = suffix_dedup._numbers(contexts, row, place, hashed, 4)
+    clash = suffix_dedup._numbers(contexts, row, place, np.zeros_like(hashed), 4)
+    strings = [contexts[i][a:a + 4] for i, a in zip(row, place, strict=True)]
+    for numbers in (told, clash):
+        assert [[a == b for b in numbers] for a in numbers] == [[a == b for b in strings] for a in strings]
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.judge(empty, labels).count() == 0
