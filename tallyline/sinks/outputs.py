@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyline.sinks.files import delete, replace_text
+from tallyline.session import materialize
+from tallyline.sinks.files import delete, exists, names, replace_text
 
 
 def csv_field(value: Column, always: bool = False) -> Column:
@@ -35,10 +36,14 @@ def write_lines(lines: DataFrame, path: str, groups: list[str]) -> None:
     """Write ``value`` into ``path/<group>=.../``, sorted by all other columns. Ranges of the order go to tasks, so a heavy
     group becomes several files whose names are in order."""
     place = [c for c in lines.columns if c not in (*groups, "value")]
-    spark, marker = lines.sparkSession, f"{path}/_SUCCESS"
-    delete(spark, marker)
     sorted_ = lines.repartitionByRange(*groups, *place).sortWithinPartitions(*groups, *place)
-    sorted_.select(*groups, "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*groups).text(path)
+    _replace(sorted_.select(*groups, "value"), path, groups)
+
+
+def _replace(rows: DataFrame, path: str, groups: list[str]) -> None:
+    spark, marker = rows.sparkSession, f"{path}/_SUCCESS"
+    delete(spark, marker)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*groups).text(path)
     replace_text(spark, marker, "")
 
 
@@ -52,6 +57,21 @@ def write_json(rows: DataFrame, path: str, groups: list[str], columns: list[str]
     write_lines(rows.select(*groups, *[F.col(o).alias(f"o{k}") for k, o in enumerate(order)], line.alias("value")), path, groups)
 
 
+def write_chunks(payloads: DataFrame, path: str, group: str, chunk: str, value: str = "payload") -> None:
+    """One text as a file of its own in ``path/<group>=.../<chunk>=.../``, chunks counted from 0. Chunks that a group had in
+    an earlier job and has no more are removed once the new ones are there."""
+    spark, again = payloads.sparkSession, exists(payloads.sparkSession, path)
+    if again:
+        payloads = materialize(payloads, "chunks")
+    _replace(payloads.select(group, chunk, F.col(value).alias("value")), path, [group, chunk])
+    if again:  # one row for each group of this job
+        for name, last in payloads.groupBy(F.col(group).cast("string")).agg(F.max(chunk)).collect():
+            folder = f"{path}/{group}={name}"
+            for old in names(spark, folder, f"{chunk}="):
+                if int(old) > last:
+                    delete(spark, f"{folder}/{chunk}={old}")
+
+
 def read_lines(spark: SparkSession, path: str, groups: list[str]) -> DataFrame:
     """(groups as text, line_no, line) as they stand in the files; line 0 is the first. Values hold no line feeds."""
     whole = spark.read.option("wholetext", True).text(path).select(

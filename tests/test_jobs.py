@@ -87,6 +87,16 @@ def test_a_group_of_files_is_replaced_whole_and_in_order(spark, tmp_path):
     assert outputs.read_lines(spark, path, ["day"]).where("day = '2026-01-01'").count() == 301 and not (tmp_path / "out" / "_SUCCESS").exists()
 
 
+def test_a_day_with_fewer_chunks_replaces_all_of_them(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = lambda day, n: spark.range(n).select(F.lit(day).alias("day"), F.col("id").alias("chunk_id"), F.concat(F.lit(f"{n}:"), "id").alias("payload"))
+    outputs.write_chunks(rows("2026-01-01", 3).unionByName(rows("2026-01-02", 12)), path, "day", "chunk_id")
+    outputs.write_chunks(rows("2026-01-02", 2), path, "day", "chunk_id")
+    got = sorted(map(tuple, spark.read.schema("payload string, day string, chunk_id long").text(path).select("day", "chunk_id", "payload").collect()))
+    assert got == [*[("2026-01-01", k, f"3:{k}") for k in range(3)], *[("2026-01-02", k, f"2:{k}") for k in range(2)]]
+    assert (tmp_path / "out" / "_SUCCESS").exists()
+
+
 def test_id_list_headers_and_duplicates(spark):
     rows = spark.createDataFrame([(" 1 ", "46085"), ("1", "2026-03-09T1"), ("", "46085"), ("2", "")],
                                  ["GTIN Number", "Created at"])
@@ -278,7 +288,7 @@ def test_layout_fills_every_column_through_every_alias(spark):
                                  "coverage_missing", "coverage_missing_sample", "coverage_extra", "backfill_new_items", "idempotency_insert",
                                  "verdicts_for_last_day", "verdicts_on_days", "verdicts_in_run_window", "backfill_window_scan", "stream_finalize", "stream_stalls", "stream_metrics", "source_growth", "daily_verdict_csv",
                                  "publish_layout_file", "run_results_file", "daily_summary_file",
-                                 "run_report_file", "page_event_log", "continuity_verdict", "monitor_summary_file", "monitor_arrivals_file", "publish_chunks", "delivery_payload", "id_list_coverage_last_day", "run_report", "daily_summary", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
+                                 "run_report_file", "page_event_log", "continuity_verdict", "monitor_summary_file", "monitor_arrivals_file", "publish_chunks", "publish_chunks_file", "delivery_payload", "delivery_payload_file", "id_list_coverage_last_day", "run_report", "daily_summary", "publish_layout", "upsert_latest_verdict", "publish_dedup", "publish_slots",
                                  "resumable_run", "coverage_summary", "run_stalls", "monitor_summary", "stream_upsert",
                                  "stream_run_counters", "backfill_totals", "reason_frequency", "outbox_transition"])
 def test_query_matches_sql(spark, key):
