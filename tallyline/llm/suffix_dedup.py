@@ -2,13 +2,15 @@
 
 Suffixes are sampled: of the first SPREAD places of every string of LENGTH bytes, the one whose next 8 bytes hash
 lowest is an anchor, so equal strings have their anchors at equal offsets, and a text has about 2 / SPREAD anchors for
-each byte. A suffix array holds the places of the suffixes at the anchors, ordered by the fingerprint of their first
-PREFIX bytes (suffixes that share a long string share it and are neighbours); it is a bucketed, sorted table.
+each byte. A suffix array orders the suffixes at the anchors by the fingerprint of their first PREFIX bytes (suffixes
+that share a long string share it and are neighbours). It is a bucketed, sorted table with one row for each stretch of
+equal fingerprints: how many suffixes it has and the first of them. All places of suffixes are files beside it, as one
+fingerprint may have a third of them.
 
 Documents come in batches, whose number and size both grow with the square root of the input. A batch gets its array,
 which is merge-scanned against the arrays of all levels: fingerprints found twice are long matches. Then it joins the
 family; two levels of equal size merge into one of twice the size, and their files go. Bucketed alike, arrays are scanned
-without a shuffle of the older ones. The places of the matches are read from the levels. A family can be kept and opened
+without a shuffle of the older ones. The places of the matches are read from the files of places. A family can be kept and opened
 again, in another session too, to take in more batches.
 
 Matches are resolved exactly: the bytes around an anchor that its strings cover are sent to the task of its
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import materialize, partitions, prepare, scratch_path, table
@@ -113,75 +115,90 @@ def _entries(length: int, spread: int):
     return run
 
 
-# Columns of a suffix array in the order of its rows.
-ENTRY = ["key", "doc_id", "mark", "place"]
-ENTRIES = "key long, doc_id long, mark long, place int"
+# Columns of the files of places.
+PLACES = "key long, doc_id long, mark long, place int"
+# Columns of a suffix array.
+ARRAY = "key long, n long, first struct<doc_id: long, mark: long, place: int>"
 
 
 class Family:
-    """Levels of suffix arrays (key, doc_id, mark, place), each bucketed by key and sorted. Their files and, once it is kept,
-    the list of the levels are in ``folder``."""
+    """Levels of suffix arrays, bucketed by key and sorted, and the places of all suffixes. The files and, once it is kept,
+    the list of them are in ``folder``."""
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark, self.buckets = spark, partitions(spark)
         self.folder = folder or scratch_path(spark, "suffix-arrays")
         self.levels: list[tuple[int, str]] = []  # batches in it, table
+        self.stored: list[str] = []  # folders of places
 
-    def _write(self, entries: DataFrame) -> str:
+    def _write(self, rows: DataFrame, n: str, first: Column) -> str:
         name = f"suffix_array_{uuid.uuid4().hex}"
-        entries.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy(*ENTRY).option(
-            "path", f"{self.folder}/{name}").saveAsTable(name)
+        array = rows.groupBy("key").agg(F.expr(n).alias("n"), F.min(first).alias("first"))
+        array.write.bucketBy(self.buckets, "key").sortBy("key").option("path", f"{self.folder}/{name}").saveAsTable(name)
         return name
 
     def _remove(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         delete(self.spark, f"{self.folder}/{name}")
 
-    def add(self, entries: DataFrame) -> DataFrame:
-        """Take in the suffixes of a batch; returns the keys now known to come twice, in it or in it and a level."""
-        new, size = self._write(entries.select(*ENTRY)), 1
-        times = self.spark.table(new).groupBy("key").agg(F.count("*").alias("n"))
-        found = times.where("n > 1").select("key")
+    def _add(self, batch: DataFrame) -> DataFrame:
+        new, size = self._write(batch, "count(*)", F.struct("doc_id", "mark", "place")), 1
+        array = self.spark.table(new)
+        found = array.where("n > 1").select("key")
         for _, level in self.levels:
-            found = found.unionByName(times.where("n = 1").join(self.spark.table(level), "key", "left_semi").select("key"))
-        found = materialize(found.distinct(), "long-matches")
+            found = found.unionByName(array.where("n = 1").join(self.spark.table(level), "key", "left_semi").select("key"))
+        found = materialize(found, "long-matches")
         while self.levels and self.levels[-1][0] == size:
             old = self.levels.pop()[1]
-            both = self._write(self.spark.table(new).unionByName(self.spark.table(old)))
+            both = self._write(self.spark.table(new).unionByName(self.spark.table(old)), "sum(n)", F.col("first"))
             self._remove(old)
             self._remove(new)
             new, size = both, 2 * size
         self.levels.append((size, new))
         return found
 
+    def take(self, entries: DataFrame) -> DataFrame:
+        """Take in the suffixes (batch, doc_id, mark, place, key) of some batches, one after the other; returns the keys now
+        known to come twice, in a batch or in a batch and a level."""
+        path, found = f"{self.folder}/places-{uuid.uuid4().hex}", self.spark.createDataFrame([], "key long")
+        entries.write.partitionBy("batch").parquet(path)  # one scan of the texts for all batches
+        self.stored.append(path)
+        stored = self.spark.read.schema(entries.schema).parquet(path)
+        for k in sorted(r["batch"] for r in stored.select("batch").distinct().collect()):
+            found = found.unionByName(self._add(stored.where(F.col("batch") == k)))
+        return found.distinct()
+
     def places(self, keys: DataFrame) -> DataFrame:
-        """The suffixes of the given distinct keys in all levels."""
-        parts = [self.spark.table(level).join(keys, "key", "left_semi").select(*ENTRY) for _, level in self.levels]
-        found = parts[0] if parts else self.spark.createDataFrame([], ENTRIES)
-        for p in parts[1:]:
-            found = found.unionByName(p)
+        """(key, doc_id, mark, place) of all suffixes of the given keys."""
+        found = self.spark.createDataFrame([], PLACES)
+        for path in self.stored:
+            places = self.spark.read.schema(PLACES).parquet(path).select("key", "doc_id", "mark", "place")
+            found = found.unionByName(places.join(keys, "key", "left_semi"))
         return found
 
     def keep(self) -> str:
         """Write the list of the levels, replacing the one before in one step; returns the folder to open."""
-        replace_text(self.spark, f"{self.folder}/levels.json", json.dumps({"buckets": self.buckets, "levels": self.levels}))
+        kept = {"buckets": self.buckets, "levels": self.levels, "stored": self.stored}
+        replace_text(self.spark, f"{self.folder}/levels.json", json.dumps(kept))
         return self.folder
 
     @classmethod
     def open(cls, spark: SparkSession, folder: str) -> Family:
         """A family that was kept, as it was then. It belongs to one writer; one that added to it has to keep it again."""
         family, kept = cls(spark, folder), json.loads(read_text(spark, f"{folder}/levels.json"))
-        family.buckets, family.levels = kept["buckets"], [(n, name) for n, name in kept["levels"]]
+        family.buckets, family.stored = kept["buckets"], kept["stored"]
+        family.levels = [(n, name) for n, name in kept["levels"]]
         for _, name in family.levels:
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ENTRIES}) USING parquet CLUSTERED BY (key) SORTED BY ({', '.join(ENTRY)}) "
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ARRAY}) USING parquet CLUSTERED BY (key) SORTED BY (key) "
                       f"INTO {family.buckets} BUCKETS LOCATION '{folder}/{name}'")
         return family
 
     def drop(self) -> None:
-        """Remove the levels and their files."""
+        """Remove the family with all its files."""
         for _, name in self.levels:
             self._remove(name)
-        self.levels = []
+        delete(self.spark, self.folder)
+        self.levels, self.stored = [], []
 
 
 def _contexts(length: int, spread: int, most: int = HELD):
@@ -322,14 +339,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     """(doc_id, mark, from, to) byte spans that strings coming twice cover; they may overlap. ``docs`` has doc_id, mark, text."""
     spark = docs.sparkSession
     long = docs.where(F.octet_length("text") >= length)
-    entries, folder = suffixes(long, batches or batches_of(long), length, spread), scratch_path(spark, "suffixes")
-    entries.write.partitionBy("batch").parquet(folder)  # one scan of the texts for all batches
-    entries = spark.read.schema(entries.schema).parquet(folder)
-    family, hits = Family(spark), spark.createDataFrame([], "key long")
-    for k in sorted(r["batch"] for r in entries.select("batch").distinct().collect()):
-        hits = hits.unionByName(family.add(entries.where(F.col("batch") == k)))
-    delete(spark, folder)  # all suffixes are in the family now
-    hits = materialize(hits.distinct(), "repeated-keys")
+    family = Family(spark)
+    hits = materialize(family.take(suffixes(long, batches or batches_of(long), length, spread)), "repeated-keys")
     wanted = materialize(family.places(hits).select("doc_id", "mark", "place", "key"), "candidates")
     family.drop()
     hot = materialize(wanted.groupBy("key").count().where(F.col("count") > group).select("key"), "hot-keys")
