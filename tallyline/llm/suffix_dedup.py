@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import materialize, partitions, prepare, scratch_path, table
@@ -121,6 +121,14 @@ PLACES = "key long, doc_id long, mark long, place int"
 ARRAY = "key long, n long, first struct<doc_id: long, mark: long, place: int>"
 
 
+def _merged(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Two arrays as one: a full join bucket by bucket (Spark 4.1 keeps both rows of a key when it groups a union of
+    bucketed tables by their bucket column)."""
+    other = other.select("key", F.col("n").alias("n2"), F.col("first").alias("first2"))
+    n = F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))
+    return one.join(other.hint("merge"), "key", "full").select("key", n.alias("n"), F.least("first", "first2").alias("first"))
+
+
 class Family:
     """Levels of suffix arrays, bucketed by key and sorted, and the places of all suffixes. The files and, once it is kept,
     the list of them are in ``folder``."""
@@ -131,9 +139,8 @@ class Family:
         self.levels: list[tuple[int, str]] = []  # batches in it, table
         self.stored: list[str] = []  # folders of places
 
-    def _write(self, rows: DataFrame, n: str, first: Column) -> str:
+    def _write(self, array: DataFrame) -> str:
         name = f"suffix_array_{uuid.uuid4().hex}"
-        array = rows.groupBy("key").agg(F.expr(n).alias("n"), F.min(first).alias("first"))
         array.write.bucketBy(self.buckets, "key").sortBy("key").option("path", f"{self.folder}/{name}").saveAsTable(name)
         return name
 
@@ -142,7 +149,8 @@ class Family:
         delete(self.spark, f"{self.folder}/{name}")
 
     def _add(self, batch: DataFrame) -> DataFrame:
-        new, size = self._write(batch, "count(*)", F.struct("doc_id", "mark", "place")), 1
+        first = F.min(F.struct("doc_id", "mark", "place"))
+        new, size = self._write(batch.groupBy("key").agg(F.count("*").alias("n"), first.alias("first"))), 1
         array = self.spark.table(new)
         found = array.where("n > 1").select("key")
         for _, level in self.levels:
@@ -150,7 +158,7 @@ class Family:
         found = materialize(found, "long-matches")
         while self.levels and self.levels[-1][0] == size:
             old = self.levels.pop()[1]
-            both = self._write(self.spark.table(new).unionByName(self.spark.table(old)), "sum(n)", F.col("first"))
+            both = self._write(_merged(self.spark.table(new), self.spark.table(old)))
             self._remove(old)
             self._remove(new)
             new, size = both, 2 * size
