@@ -294,3 +294,12 @@ def test_layout_fills_every_column_through_every_alias(spark):
 def test_query_matches_sql(spark, key):
     line = check.compare(spark, check.connect(SF), key, catalog.QUERIES[key], catalog.ORACLE[key], SF)
     assert line.startswith("OK"), line
+
+
+def test_every_click_and_purchase_is_a_fetch(spark, tmp_path):
+    rows = [(1, "2024-01-01 00:00:00", 7, "click", 5.0), (2, "2024-01-01 00:01:00", 7, "view", 5.0),
+            (3, "2024-01-01 00:02:00", 7, "purchase", 5.0), (4, "2024-01-02 00:00:00", 8, "error", 5.0)]
+    spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    got = catalog.QUERIES["monitor_fetches"](spark, str(tmp_path)).collect()
+    assert sorted((r["event_id"], r["items"], r["total_fetched"]) for r in got) == [(1, 1, 1), (3, 1, 2)]
