@@ -25,7 +25,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word shingles, similarity 0.8 or more) stays, that with the smallest id."""
+    """One document of each group of near copies (5-word shingles, similarity 0.8 or more) stays, that with the smallest id.
+    Candidates come from the index of fingerprint bytes, and from bands beside it; an exact check follows."""
     return shingle_dedup.drop_near_copies(docs)
 
 

@@ -1,8 +1,9 @@
 """Near-dedup of the pipeline: texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more.
 
 A node is a distinct set of shingles, named by a hash of its own, so that document ids play no part in the links.
-Candidates share a band of minima of hash functions (BANDS bands of ROWS: a pair at 0.8 is missed once in 10,000, a more
-similar one less often). They are only joined to groups by spanning stars; every group is then compared exactly, large
+Candidates are fingerprints of 5-word shingles that differ in at most 4 bits, found by op 8's index over the bytes of
+fingerprints. As a pair at 0.8 has about 10 differing bits, texts that share a band of minima of hash functions are candidates
+as well (BANDS bands of ROWS: a pair at 0.8 is missed once in 10,000, a more similar one less often). Candidates are only joined to groups by spanning stars; every group is then compared exactly, large
 ones block against block in tasks of their own, and only links of similarity 0.8 or more stay.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.llm import simhash_dedup
 from tallyline.llm.common import fresh, materialize, partitions, prepare
 from tallyline.llm.components import components
 
@@ -49,16 +51,19 @@ def bands(grams: np.ndarray) -> list[int]:
     return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
 
 
-def _with_nodes(docs: DataFrame, node: str, keys: str) -> DataFrame:
+def _with_nodes(docs: DataFrame, node: str, keys: str, fp: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t) for t in b.column("text").to_pylist()]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(nodes), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))],
-                                             [*b.schema.names, node, keys])
+            prints = np.array([simhash_dedup.fingerprint(t, SHINGLE) for t in b.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(nodes), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pa.array(prints)],
+                [*b.schema.names, node, keys, fp])
 
     prepare(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField(node, T.LongType()), T.StructField(keys, T.ArrayType(T.LongType()))])
+    schema = T.StructType([*docs.schema.fields, T.StructField(node, T.LongType()), T.StructField(keys, T.ArrayType(T.LongType())),
+                           T.StructField(fp, T.LongType())])
     return docs.mapInArrow(run, schema)
 
 
@@ -116,7 +121,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield stars()
 
 
-def _links(rows: DataFrame, node: str, keys: str) -> DataFrame:
+def _fingerprint_links(rows: DataFrame, node: str, keys: str, fp: str) -> DataFrame:
+    """(a, b) nodes with words whose fingerprints differ in at most 4 bits, enough of them to connect all such nodes."""
+    prints = materialize(rows.where(F.size(keys) > 0).select(F.col(node).alias("node"), F.col(fp).alias("fp")).distinct(), "node-fingerprints")
+    first = materialize(prints.groupBy("fp").agg(F.min("node").alias("id")), "distinct-fingerprints")
+    alike = prints.join(first, "fp").select(F.col("node").alias("a"), F.col("id").alias("b"))
+    return alike.unionByName(simhash_dedup.links(first)).where("a <> b")
+
+
+def _links(rows: DataFrame, node: str, keys: str, fp: str) -> DataFrame:
     """(a, b) nodes of similar sets, enough of them to connect all that are similar."""
     spark = rows.sparkSession
     nodes = materialize(rows.select(F.col(node).alias("node"), F.col(keys).alias("keys")).distinct(), "shingle-bands")
@@ -124,6 +137,7 @@ def _links(rows: DataFrame, node: str, keys: str) -> DataFrame:
     shared = materialize(postings.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
         "first < last").drop("last"), "shared-bands")
     candidates = postings.join(shared, "key").where("node > first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    candidates = candidates.unionByName(_fingerprint_links(rows, node, keys, fp))
     found = components(materialize(candidates.distinct(), "band-links"))
     members = materialize(found.select("node", F.col("component").alias("grp")).unionByName(
         found.select(F.col("component").alias("node"), F.col("component").alias("grp")).distinct()), "candidates")
@@ -142,10 +156,10 @@ def _links(rows: DataFrame, node: str, keys: str) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component of similar texts: that of the smallest doc_id, null before all others, and of
     these the one with the smallest text. A row goes only for a near copy; texts without words are copies of each other."""
-    node, keys = fresh(docs, "_node"), fresh(docs, "_bands")
-    rows = materialize(_with_nodes(docs, node, keys), "shingle-nodes")
-    found = components(materialize(_links(rows, node, keys), "shingle-links")).select(F.col("node").alias(node), F.col("component").alias(keys))
-    named = rows.drop(keys).join(materialize(found, "shingle-components"), node, "left")
+    node, keys, fp = fresh(docs, "_node"), fresh(docs, "_bands"), fresh(docs, "_fp")
+    rows = materialize(_with_nodes(docs, node, keys, fp), "shingle-nodes")
+    found = components(materialize(_links(rows, node, keys, fp), "shingle-links")).select(F.col("node").alias(node), F.col("component").alias(keys))
+    named = rows.drop(keys, fp).join(materialize(found, "shingle-components"), node, "left")
     order = ["doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")]]
     one = F.row_number().over(Window.partitionBy(F.coalesce(keys, node)).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order]))
     place = fresh(named, "_place")

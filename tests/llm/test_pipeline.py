@@ -136,3 +136,16 @@ def test_every_stage_of_an_empty_table(spark, tmp_path):
         out = stage(spark, docs, folder)
         assert out.count() == 0 and (name == corpus_pipeline.STAGES[-1][0] or out.columns == docs.columns)
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_near_dedup_takes_candidates_from_the_fingerprint_index(spark, monkeypatch):
+    from tallyline.llm import shingle_dedup, simhash_dedup
+
+    seen, links = [], simhash_dedup.links
+    monkeypatch.setattr(simhash_dedup, "links", lambda fps, *a: seen.append(fps.count()) or links(fps, *a))
+    monkeypatch.setattr(shingle_dedup, "bands", lambda grams: [int(grams[0]) // 2] if len(grams) else [])  # bands that find next to nothing
+    words = [f"word{k}" for k in range(400)]
+    texts = [" ".join(words), " ".join([*words[:399], "other"]), " ".join(f"more{k}" for k in range(50)), "", None]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(r["doc_id"] for r in shingle_dedup.drop_near_copies(docs).collect())
+    assert seen == [3] and kept == [0, 2, 3]
