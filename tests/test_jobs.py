@@ -303,3 +303,34 @@ def test_every_click_and_purchase_is_a_fetch(spark, tmp_path):
         "ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
     got = catalog.QUERIES["monitor_fetches"](spark, str(tmp_path)).collect()
     assert sorted((r["event_id"], r["items"], r["total_fetched"]) for r in got) == [(1, 1, 1), (3, 1, 2)]
+
+
+def test_reading_ids_of_pages_parses_each_page_once(spark):
+    rows = [('{"runId":"r","batchId":1,"fromDate":"2024-01-01","payload":{"items":[{"gtin":" 1 "},{"GTIN":2.50},{"gtin":null,"GTIN_number":"3"},null,'
+             '{"gtin":""}]}}',), ("no page {",), ('{"runId":"r","batchId":2,"payload":{"items":[]}}',), ("[1]",)]
+    got = feed.page_ids(spark.createDataFrame(rows, "value string"))
+    assert sorted((r["item_pos"], r["gtin"]) for r in got.collect()) == [(1, "1"), (2, "2.5"), (3, "3"), (4, None), (5, None)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Filter" in line and "from_json" in line]
+
+
+def test_queries_on_runs_alone_validate_nothing(spark, monkeypatch):
+    from tallyline.plans import stores
+
+    monkeypatch.setattr(stores, "_paths", {})
+    for key in ("resumable_run", "checkpoint_or_last_batch", "continuity_verdict"):
+        catalog.QUERIES[key](spark, "/root/testdata/sf0.001").collect()
+    assert not [k for k in stores._paths if k[2] == "verdicts"]
+
+
+def test_landed_files_follow_the_tasks_that_read_the_table(spark, tmp_path):
+    from tallyline.plans.q_streaming import _files
+
+    spark.range(0, 1000, 1, 9).write.parquet(f"{tmp_path}/wide")
+    size = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        assert _files(spark.read.parquet(f"{tmp_path}/wide"), 4) == 9
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", size)
+    assert _files(spark.range(1), 4) >= 4
