@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyline.session import materialize
+from tallyline.session import materialize, shuffles_removed
 from tallyline.sinks.files import delete, exists, names, replace_text
 
 
@@ -32,18 +32,20 @@ def csv_lines(rows: DataFrame, groups: list[str], order: list[str], columns: lis
     return body.unionByName(headers)
 
 
-def write_lines(lines: DataFrame, path: str, groups: list[str]) -> None:
+def write_lines(lines: DataFrame, path: str, groups: list[str], dealt: bool = False, compression: str = "none") -> None:
     """Write ``value`` into ``path/<group>=.../``, sorted by all other columns. Ranges of the order go to tasks, so a heavy
-    group becomes several files whose names are in order."""
+    group becomes several files whose names are in order. Rows that are ``dealt`` in such ranges already are not moved again."""
     place = [c for c in lines.columns if c not in (*groups, "value")]
-    sorted_ = lines.repartitionByRange(*groups, *place).sortWithinPartitions(*groups, *place)
-    _replace(sorted_.select(*groups, "value"), path, groups)
+    ranges = lines if dealt else lines.repartitionByRange(*groups, *place)
+    _replace(ranges.sortWithinPartitions(*groups, *place).select(*groups, "value"), path, groups, compression)
 
 
-def _replace(rows: DataFrame, path: str, groups: list[str]) -> None:
+def _replace(rows: DataFrame, path: str, groups: list[str], compression: str = "none") -> None:
     spark, marker = rows.sparkSession, f"{path}/_SUCCESS"
     delete(spark, marker)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*groups).text(path)
+    with shuffles_removed(spark):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression).partitionBy(
+            *groups).text(path)
     replace_text(spark, marker, "")
 
 
@@ -51,10 +53,10 @@ def write_csv(rows: DataFrame, path: str, groups: list[str], order: list[str], c
     write_lines(csv_lines(rows, groups, order, columns, always), path, groups)
 
 
-def write_json(rows: DataFrame, path: str, groups: list[str], columns: list[str], order: list[str] = ()) -> None:
+def write_json(rows: DataFrame, path: str, groups: list[str], columns: list[str], order: list[str] = (), **how) -> None:
     """An object for each row, a line each; null values are written."""
     line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
-    write_lines(rows.select(*groups, *[F.col(o).alias(f"o{k}") for k, o in enumerate(order)], line.alias("value")), path, groups)
+    write_lines(rows.select(*groups, *[F.col(o).alias(f"o{k}") for k, o in enumerate(order)], line.alias("value")), path, groups, **how)
 
 
 def write_chunks(payloads: DataFrame, path: str, group: str, chunk: str, value: str = "payload") -> None:
