@@ -32,11 +32,14 @@ def csv_lines(rows: DataFrame, groups: list[str], order: list[str], columns: lis
     return body.unionByName(headers)
 
 
-def write_lines(lines: DataFrame, path: str, groups: list[str], dealt: bool = False, compression: str = "none") -> None:
+def write_lines(lines: DataFrame, path: str, groups: list[str], dealt: bool = False, compression: str = "none",
+                tasks: int | None = None) -> None:
     """Write ``value`` into ``path/<group>=.../``, sorted by all other columns. Ranges of the order go to tasks, so a heavy
-    group becomes several files whose names are in order. Rows that are ``dealt`` in such ranges already are not moved again."""
+    group becomes several files whose names are in order. Rows that are ``dealt`` in such ranges already are not moved again. With
+    ``tasks`` the ranges stay as many: where each group is a small file, files take the time and not bytes, and ranges put together by
+    their bytes would leave all files to one task."""
     place = [c for c in lines.columns if c not in (*groups, "value")]
-    ranges = lines if dealt else lines.repartitionByRange(*groups, *place)
+    ranges = lines if dealt else lines.repartitionByRange(*([tasks] if tasks else []), *groups, *place)
     _replace(ranges.sortWithinPartitions(*groups, *place).select(*groups, "value"), path, groups, compression)
 
 
